@@ -295,7 +295,7 @@ def fk_violations_sql(report: str) -> str:
 
 
 def dm_traffic_sql(year: int) -> str:
-    return ("select user_id, device_id, cast(date_trunc('month', \"timestamp\") as date) month, "
+    return ("select user_id, device_id, cast(date_trunc('month', \"timestamp\") as date) \"month\", "
             "cast(sum(bytes_sent) as bigint) bytes_sent, cast(sum(bytes_received) as bigint) "
             f"bytes_received, cast(count(*) as bigint) records from ({ods_sql('traffic', year)}) t "
             "group by 1, 2, 3")
