@@ -73,7 +73,7 @@ def epoch_millis_to_ts(c: Column | str) -> Column:
 
 def ts_to_epoch_millis(c: Column | str) -> Column:
     """TIMESTAMP_NTZ -> epoch milliseconds (truncating), zone-free."""
-    micros = F.timestampdiff("MICROSECOND", epoch_ntz(), _col(c).cast("timestamp_ntz"))
+    micros = F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(c).cast("timestamp_ntz"))
     return F.floor(micros / F.lit(1000)).cast("bigint")
 
 

@@ -273,25 +273,35 @@ def report_sql(years) -> str:
         "group by 1, 2, 3, 4, 5, 6")
 
 
-def dim_sql(report: str, attr: str) -> str:
+DIMS = ["billing_year", "legal_type", "district", "registration_year", "billing_mode"]
+
+
+def _dim_body(attr: str, src: str = "r") -> str:
     return (f"select cast(row_number() over (order by {attr}_key asc nulls last) as smallint) id, "
-            f"{attr}_key from (select distinct {attr} as {attr}_key from ({report}) r) d")
+            f"{attr}_key from (select distinct {attr} as {attr}_key from {src}) d")
 
 
-DIMS = ["billing_year", "legal_type", "district", "registration_year", "billing_mode"]
+def mart_ctes(report: str) -> str:
+    """The report, its five dimensions and the fact, each computed once."""
+    dims = ", ".join(f"d_{a} as materialized ({_dim_body(a)})" for a in DIMS)
+    joins = " ".join(f"join d_{a} on t.{a} = d_{a}.{a}_key" for a in DIMS)
+    ids = ", ".join(f"d_{a}.id as {a}_id" for a in DIMS)
+    fact = f"select {ids}, t.is_vip, t.tot_sum from r t {joins}"
+    return f"with r as materialized ({report}), {dims}, f as materialized ({fact}) "
+
+
+def dim_sql(report: str, attr: str) -> str:
+    return f"with r as materialized ({report}) {_dim_body(attr)}"
 
 
 def fact_sql(report: str) -> str:
-    joins = " ".join(f"join ({dim_sql(report, a)}) d_{a} on t.{a} = d_{a}.{a}_key" for a in DIMS)
-    ids = ", ".join(f"d_{a}.id as {a}_id" for a in DIMS)
-    return f"select {ids}, t.is_vip, t.tot_sum from ({report}) t {joins}"
+    return mart_ctes(report) + "select * from f"
 
 
 def fk_violations_sql(report: str) -> str:
-    fact = fact_sql(report)
-    parts = [f"select '{a}_id' as foreign_key, f.{a}_id as id from ({fact}) f where f.{a}_id is not null "
-             f"and not exists (select 1 from ({dim_sql(report, a)}) d where d.id = f.{a}_id)" for a in DIMS]
-    return " union all ".join(parts)
+    parts = [f"select '{a}_id' as foreign_key, f.{a}_id as id from f where f.{a}_id is not null "
+             f"and not exists (select 1 from d_{a} d where d.id = f.{a}_id)" for a in DIMS]
+    return mart_ctes(report) + " union all ".join(parts)
 
 
 def dm_traffic_sql(year: int) -> str:

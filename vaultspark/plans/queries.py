@@ -271,20 +271,19 @@ def _duck_type(t) -> str:
 
 
 def _run_year_counts_sql(year: int) -> str:
-    report = O.report_sql([year])
     tables = {
         "hub_user": O.hub_sql("user", year), "hub_account": O.hub_sql("account", year),
         "hub_billing_period": O.hub_sql("billing_period", year),
         "hub_pay_doc_type": O.hub_sql("pay_doc_type", year),
         "link_payment": O.link_sql(O.staged("payment", year)),
         "sat_user": O.sat_year("sat_user", year), "sat_payment": O.sat_year("sat_payment", year),
-        "sat_mdm": O.sat_year("sat_mdm", year), "report_tmp": report,
+        "sat_mdm": O.sat_year("sat_mdm", year), "report_tmp": "select * from r",
     }
     for d in marts.DIMENSIONS:
-        tables[f"dim_{d}"] = O.dim_sql(report, d)
-    tables["fact"] = O.fact_sql(report)
-    return " union all ".join(f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({s}) x"
-                              for n, s in tables.items())
+        tables[f"dim_{d}"] = f"select * from d_{d}"
+    tables["fact"] = "select * from f"
+    return O.mart_ctes(O.report_sql([year])) + " union all ".join(
+        f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({s}) x" for n, s in tables.items())
 
 
 QUERIES, ORACLE_SQL = build()
