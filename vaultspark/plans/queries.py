@@ -191,6 +191,36 @@ def build() -> tuple[dict[str, Query], dict[str, str]]:
         q[f"{name}_rerun"] = rerun
         sql[f"{name}_rerun"] = O.sat_rerun(name, Y1, Y2)
 
+    # the satellite building blocks on their own (WN-3 + FL-4, JN-4 + FL-6, WN-4)
+    def sat_user_changes(spark, sf):
+        p = staged(spark, sf, "payment", Y1)
+        return vault.collapse_repeats(p, "USER_PK", "phone", ["EFFECTIVE_FROM", "pay_doc_num"]).select(
+            "USER_PK", "USER_HASHDIFF", "phone", "pay_doc_num", "EFFECTIVE_FROM")
+    q["sat_user_changes"] = sat_user_changes
+    sql["sat_user_changes"] = (f"select USER_PK, USER_HASHDIFF, phone, pay_doc_num, EFFECTIVE_FROM "
+                               f"from ({O.sat_user_src(Y1)}) c")
+
+    def sat_update_records(spark, sf):
+        history = sat(spark, sf, "sat_payment", Y1).unionByName(sat(spark, sf, "sat_payment", Y2))
+        batch = staged(spark, sf, "payment", Y1)
+        return vault.history_as_of(history, None, batch, "PAYMENT_PK")
+    q["sat_update_records"] = sat_update_records
+    hist = f"({O.sat_year('sat_payment', Y1)}) union all ({O.sat_year('sat_payment', Y2)})"
+    sql["sat_update_records"] = (
+        f"select * from ({hist}) a where exists (select 1 from ({O.staged('payment', Y1)}) b "
+        "where a.PAYMENT_PK = b.PAYMENT_PK and a.LOAD_DATE <= b.LOAD_DATE)")
+
+    def latest_sat_states(spark, sf):
+        first = sat(spark, sf, "sat_user", Y1)
+        history = first.unionByName(sat(spark, sf, "sat_user", Y2, first))
+        return vault.latest_states(history, "USER_PK", "USER_HASHDIFF")
+    q["latest_sat_states"] = latest_sat_states
+    first_sql = O.sat_year("sat_user", Y1)
+    hist_sql = f"({first_sql}) union all ({O.sat_year('sat_user', Y2, first_sql)})"
+    sql["latest_sat_states"] = (
+        "select distinct USER_PK, USER_HASHDIFF from (select USER_PK, USER_HASHDIFF, rank() over "
+        f"(partition by USER_PK order by LOAD_DATE desc) rk from ({hist_sql}) h) x where rk = 1")
+
     # earlier payment vault (DV-18)
     q["hub_paydoc"] = lambda spark, sf: vault.hub_rows("paydoc", [staged(spark, sf, "early_payment", Y1)])
     sql["hub_paydoc"] = O.hub_sql("paydoc", Y1, sources=("early_payment",))
