@@ -52,3 +52,41 @@ def test_append_create_and_write_once(spark, tmp_path):
     wh.append("hub_user", row)
     assert wh.read("hub_user", s).count() == 2
     assert wh.write_once("ods_user", row) and not wh.write_once("ods_user", row)
+
+
+def test_register_source_only_once(spark, tmp_path):
+    from vaultspark.sources import readers
+
+    p = str(tmp_path / "payment")
+    spark.createDataFrame([], schemas.STG_PAYMENT).write.parquet(p)
+    name = "stg_payment_test"
+    assert readers.register_source(spark, name, p, schemas.STG_PAYMENT)
+    assert not readers.register_source(spark, name, p, schemas.STG_PAYMENT)
+    assert spark.table(name).columns == [f.name for f in schemas.STG_PAYMENT.fields]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_validation_batches(spark, tmp_path):
+    from vaultspark.sources import readers
+
+    p = str(tmp_path / "b")
+    df = spark.range(2000).withColumnRenamed("id", "a")
+    df.write.parquet(p)
+    assert readers.batch_from_path(spark, p).count() == 2000
+    assert readers.batch_from_dataframe(df) is df
+    assert readers.limit_batch(df, 1000).count() == 1000
+    assert readers.batch_from_query(spark, "select 1 as x").count() == 1
+    df.createOrReplaceTempView("batch_view")
+    assert readers.batch_from_table(spark, "batch_view").count() == 2000
+
+
+def test_results_are_kept(spark, tmp_path):
+    from vaultspark.operators import quality as Q
+
+    wh = Warehouse(spark, str(tmp_path))
+    df = spark.createDataFrame([(1,)], "a int")
+    res = Q.validate(df, "s", [{"expectation_type": Q.NOT_NULL, "kwargs": {"column": "a"}}], "r1",
+                     dt.datetime(2021, 1, 1))
+    Q.store_results(wh, res)
+    Q.store_results(wh, res)
+    assert wh.read("validation_results").count() == 2

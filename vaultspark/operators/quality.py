@@ -193,6 +193,11 @@ def validate_batches(batches: list[tuple[DataFrame, str, list[dict]]], run_name:
     return reduce(DataFrame.unionByName, results)
 
 
+def store_results(wh, results: DataFrame, table: str = "validation_results") -> None:
+    """DQ-13: keep validation results -- appended to a results table."""
+    wh.append(table, results.select(*[f.name for f in RESULT_SCHEMA.fields]))
+
+
 def summary(results: DataFrame) -> DataFrame:
     """Per run and suite: number of rules, failures and overall success."""
     return (results.groupBy("run_name", "run_time", "suite")

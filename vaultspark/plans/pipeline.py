@@ -204,6 +204,30 @@ def run_early_vault_year(spark: SparkSession, wh: Warehouse, raw_payment: DataFr
     wh.append("sat_pay", vault.sat_pay_rows(stg, sat, as_of=ld))
 
 
+# --- Hive variant of the ODS load (PR-5, SK-3, SK-7, AG-5) -------------------------------
+
+HIVE_TABLES = ["hive_ods_billing", "hive_ods_issue", "hive_ods_payment", "hive_ods_traffic", "dm_traffic"]
+HIVE_PARTITION = "year"
+
+
+def hive_schema(src: str) -> T.StructType:
+    fields = [f if f.name != "device_ip_addr" else T.StructField("device_ip_addr", T.IntegerType(), True)
+              for f in schemas.ODS[src].fields]
+    return T.StructType(fields + [T.StructField(HIVE_PARTITION, T.IntegerType(), True)])
+
+
+def run_hive_year(spark: SparkSession, wh: Warehouse, raw: dict[str, DataFrame], year: int,
+                  parallel: bool = True) -> None:
+    """The Hive load of one year: a static ``year=Y`` partition overwrite per
+    feed, then -- after traffic -- the traffic mart rebuilt from the whole table."""
+    def one(src):
+        name = f"hive_ods_{src}"
+        wh.overwrite_partition(name, str(year), ods.HIVE_LOADERS[src](raw[src], year), HIVE_PARTITION)
+    in_parallel([lambda s=s: one(s) for s in ODS_SOURCES], parallel)
+    traffic = wh.read("hive_ods_traffic", hive_schema("traffic"))
+    wh.replace("dm_traffic", marts.traffic_mart(traffic))
+
+
 def partition_labels(df: DataFrame, column: str) -> DataFrame:
     """Rows per ODS partition label of a date column (SK-1)."""
     return df.groupBy(partition_label(column).alias(PARTITION_COLUMN)).agg(

@@ -289,6 +289,32 @@ def build() -> tuple[dict[str, Query], dict[str, str]]:
     def run_years(spark, sf):
         wh = loaded_vault(spark, sf)
         return pipeline.table_counts(spark, wh, pipeline.VAULT_TABLES + pipeline.MART_TABLES)
+    def hive_year(spark, sf):
+        wh = Warehouse(spark, shared_root(spark, "hive-year"))
+        pipeline.run_hive_year(spark, wh, fixtures.raw_sources(spark, sf), Y2)
+        return pipeline.table_counts(spark, wh, pipeline.HIVE_TABLES)
+    q["hive_year"] = hive_year
+    hive_tables = {f"hive_ods_{s}": O.ods_hive_sql(s, Y2) for s in ("billing", "issue", "payment", "traffic")}
+    hive_tables["dm_traffic"] = O.dm_traffic_sql(Y2)
+    sql["hive_year"] = " union all ".join(
+        f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({t}) x" for n, t in hive_tables.items())
+
+    def early_vault_year(spark, sf):
+        wh = Warehouse(spark, shared_root(spark, "early-vault"))
+        pipeline.run_early_vault_year(spark, wh, raw(spark, sf, "payment"), Y1)
+        return pipeline.table_counts(spark, wh, pipeline.EARLY_TABLES)
+    q["early_vault_year"] = early_vault_year
+    early = O.staged("early_payment", Y1)
+    early_tables = {f"hub_{h}": O.hub_sql(h, Y1, sources=("early_payment",))
+                    for h in ("user", "account", "billing_period", "paydoc")}
+    early_tables["link_paydoc_payment"] = O.link_sql(
+        early, pk="PAY_PK", fks=["PAYDOC_PK", "USER_PK", "ACCOUNT_PK", "BILLING_PERIOD_PK"])
+    early_tables["sat_user"] = O.sat_sql(O.sat_user_src(Y1, "early_payment"), "USER_PK", "USER_HASHDIFF",
+                                         ["phone"], Y1)
+    early_tables["sat_pay"] = O.sat_sql(early, "PAY_PK", "PAY_HASHDIFF", ["sum"], Y1)
+    sql["early_vault_year"] = " union all ".join(
+        f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({t}) x" for n, t in early_tables.items())
+
     q["run_years"] = run_years  # sat_user across years has no plain-SQL oracle; see tests
     return q, sql
 

@@ -104,14 +104,6 @@ class Warehouse:
         target = f"{self.path(name)}/{column}={label}"
         df.drop(column).write.mode("overwrite").parquet(target)
 
-    def read_partition(self, name: str, label: str, schema: T.StructType | None = None,
-                       column: str = PARTITION_COLUMN) -> DataFrame:
-        """Read one partition through the table root, so the scan shows a
-        ``PartitionFilters`` entry and only that directory is listed/read."""
-        return self.read(name, None).where(F.col(column) == F.lit(label)).select(
-            *[f.name for f in (schema.fields if schema else [])] or ["*"]
-        )
-
     # SK-4: append rows with an explicit column list
     def append(self, name: str, df: DataFrame, columns: list[str] | None = None) -> None:
         if columns:
