@@ -90,3 +90,31 @@ def test_results_are_kept(spark, tmp_path):
     Q.store_results(wh, res)
     Q.store_results(wh, res)
     assert wh.read("validation_results").count() == 2
+
+
+def test_bucketed_hub_is_read_without_shuffle(spark, tmp_path):
+    from vaultspark.operators import vault
+
+    wh = Warehouse.for_vault(spark, str(tmp_path), n=4)
+    s = schemas.hub_schema("account")
+    rows = [(f"{i:032x}", str(i), dt.datetime(2013, 1, 1), "X") for i in range(50)]
+    wh.create_if_missing("hub_account", s)
+    wh.append("hub_account", spark.createDataFrame(rows[:30], s))
+    hub = wh.read("hub_account", s)
+    new = spark.createDataFrame(rows, s)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = vault.new_hub_rows(new, "ACCOUNT_PK", "ACCOUNT_KEY", hub)
+        assert out.count() == 20
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        scan = [ln for ln in plan.split("\n") if "FileScan" in ln and "vs_" in ln]
+        assert scan and "Bucketed: true" in scan[0]
+        wh.append("hub_account", out)
+        # a fresh warehouse object over the same root re-attaches the table
+        again = Warehouse.for_vault(spark, str(tmp_path), n=4)
+        spark.sql(f"DROP TABLE {again.table_name('hub_account')}")  # drop catalog entry only (external)
+        assert again.read("hub_account", s).count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

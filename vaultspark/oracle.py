@@ -145,9 +145,6 @@ def stage_sql(spec: StageSpec, ods_select: str, year: int) -> str:
     return f"select {', '.join(cols)} from ({ods_select}) o"
 
 
-STAGE_YEAR_SOURCES = {"billing", "payment", "issue", "traffic"}
-
-
 def staged(src: str, year: int) -> str:
     """Staging of one source for a batch year (mdm: whole table, stamped with the year)."""
     if src == "mdm":

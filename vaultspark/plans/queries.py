@@ -82,7 +82,7 @@ def loaded_vault(spark: SparkSession, sf: str) -> Warehouse:
     key = (id(spark), sf)
     wh = _WAREHOUSES.get(key)
     if wh is None:
-        wh = Warehouse(spark, shared_root(spark, "vault"))
+        wh = Warehouse.for_vault(spark, shared_root(spark, "vault"))
         feeds = fixtures.raw_sources(spark, sf)
         pipeline.run_years(spark, wh, feeds, YEARS)
         _WAREHOUSES[key] = wh
@@ -280,7 +280,7 @@ def build() -> tuple[dict[str, Query], dict[str, str]]:
 
     # pipeline (PL-1, PL-2)
     def run_year(spark, sf):
-        wh = Warehouse(spark, shared_root(spark, "run-year"))
+        wh = Warehouse.for_vault(spark, shared_root(spark, "run-year"))
         pipeline.run_year(spark, wh, fixtures.raw_sources(spark, sf), Y1, build_marts=True)
         return pipeline.table_counts(spark, wh, pipeline.VAULT_TABLES + pipeline.MART_TABLES)
     q["run_year"] = run_year
@@ -300,7 +300,7 @@ def build() -> tuple[dict[str, Query], dict[str, str]]:
         f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({t}) x" for n, t in hive_tables.items())
 
     def early_vault_year(spark, sf):
-        wh = Warehouse(spark, shared_root(spark, "early-vault"))
+        wh = Warehouse.for_vault(spark, shared_root(spark, "early-vault"))
         pipeline.run_early_vault_year(spark, wh, raw(spark, sf, "payment"), Y1)
         return pipeline.table_counts(spark, wh, pipeline.EARLY_TABLES)
     q["early_vault_year"] = early_vault_year

@@ -8,14 +8,14 @@ re-runs its tasks and a failed job leaves no visible partial output.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 # ODS range partitions of the reference.  ``before_2013`` holds
 # [2000-01-01, 2013-01-01), one partition per year 2013..2030, ``badyear``
@@ -60,14 +60,55 @@ def shared_root(spark: SparkSession, name: str = "vaultspark") -> str:
 
 @dataclass
 class Warehouse:
-    """Path-based tables under ``root``; ``<root>/<table>``."""
+    """Path-based tables under ``root``; ``<root>/<table>``.
+
+    ``buckets`` maps a table to ``(key, n)``: such a table is also registered
+    in the session catalog as an external table bucketed by ``key`` into ``n``
+    buckets at the same path.  A join or aggregate on ``key`` then reads it
+    without a shuffle -- the growing hubs and links are the target side of every
+    yearly anti join, so bucketing them keeps that history out of the shuffle;
+    only the (small) new keys move.  A new session re-attaches an existing
+    table directory to the catalog.
+    """
 
     spark: SparkSession
     root: str
+    buckets: dict[str, tuple[str, int]] = field(default_factory=dict)
+
+    @classmethod
+    def for_vault(cls, spark: SparkSession, root: str, n: int | None = None,
+                  tables: dict[str, str] | None = None) -> "Warehouse":
+        """Warehouse whose hubs and links are bucketed by their hash key;
+        ``n`` defaults to ``spark.sql.shuffle.partitions`` so the new rows'
+        shuffle lines up with the buckets."""
+        n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tables = tables or {
+            "hub_user": "USER_PK", "hub_account": "ACCOUNT_PK",
+            "hub_billing_period": "BILLING_PERIOD_PK", "hub_pay_doc_type": "PAY_DOC_TYPE_PK",
+            "hub_paydoc": "PAYDOC_PK", "link_payment": "PAYMENT_PK", "link_paydoc_payment": "PAY_PK",
+        }
+        return cls(spark, root, {t: (k, n) for t, k in tables.items()})
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def table_name(self, name: str) -> str:
+        tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
+        return f"vs_{tag}_{name}"
+
+    def _register(self, name: str, schema: T.StructType) -> None:
+        key, n = self.buckets[name]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table_name(name)} ({cols}) USING parquet "
+                       f"CLUSTERED BY (`{key}`) INTO {n} BUCKETS LOCATION '{self.path(name)}'")
+
+    def _bucketed_write(self, name: str, df: DataFrame, mode: str) -> None:
+        key, n = self.buckets[name]
+        # one file per bucket and write task: rows are hash-partitioned by the
+        # bucket key the way bucketing assigns them
+        (df.repartition(n, key).write.bucketBy(n, key).format("parquet")
+         .option("path", self.path(name)).mode(mode).saveAsTable(self.table_name(name)))
+
     def exists(self, name: str) -> bool:
         p = self.path(name)
         if "://" not in p or p.startswith("file:"):
@@ -81,6 +122,10 @@ class Warehouse:
             return False
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        if name in self.buckets:
+            if not self.spark.catalog.tableExists(self.table_name(name)):
+                self._register(name, schema or self.spark.read.parquet(self.path(name)).schema)
+            return self.spark.table(self.table_name(name))
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
@@ -89,6 +134,14 @@ class Warehouse:
     # SK-5
     def create_if_missing(self, name: str, schema: T.StructType,
                           partition_by: str | None = None) -> bool:
+        if name in self.buckets:
+            if self.spark.catalog.tableExists(self.table_name(name)):
+                return False
+            if self.exists(name):
+                self._register(name, schema)
+                return False
+            self._bucketed_write(name, self.spark.createDataFrame([], schema), "ignore")
+            return True
         if self.exists(name):
             return False
         empty = self.spark.createDataFrame([], schema)
@@ -108,10 +161,16 @@ class Warehouse:
     def append(self, name: str, df: DataFrame, columns: list[str] | None = None) -> None:
         if columns:
             df = df.select(*columns)
+        if name in self.buckets:
+            self._bucketed_write(name, df, "append")
+            return
         df.write.mode("append").parquet(self.path(name))
 
     # SK-6 / SK-7 / SK-8: replace a whole table
     def replace(self, name: str, df: DataFrame) -> None:
+        if name in self.buckets:
+            self._bucketed_write(name, df, "overwrite")
+            return
         df.write.mode("overwrite").parquet(self.path(name))
 
     # SR-3 style: write once, skipped if the target exists
@@ -121,11 +180,3 @@ class Warehouse:
         df.write.mode("ignore").parquet(self.path(name))
         return True
 
-
-def table_exists_or_empty(spark: SparkSession, wh: Warehouse, name: str,
-                          schema: T.StructType) -> DataFrame:
-    """The table if present, else an empty frame of its schema."""
-    try:
-        return wh.read(name, schema)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
