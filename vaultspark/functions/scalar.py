@@ -99,6 +99,12 @@ def year_slice(c: Column | str, year: int, kind: str = "date") -> Column:
     return (c >= _bound(year, kind)) & (c < _bound(year + 1, kind))
 
 
+def year_range(c: Column | str, first: int, last: int, kind: str = "date") -> Column:
+    """``first <= EXTRACT(YEAR FROM c) <= last`` as a pushable half-open range."""
+    c = _col(c)
+    return (c >= _bound(first, kind)) & (c < _bound(last + 1, kind))
+
+
 def epoch_millis_of_year(year: int) -> int:
     return calendar.timegm(dt.datetime(year, 1, 1).timetuple()) * 1000
 

@@ -157,6 +157,19 @@ class Warehouse:
         target = f"{self.path(name)}/{column}={label}"
         df.drop(column).write.mode("overwrite").parquet(target)
 
+    def drop_partitions(self, name: str, labels: list[str], column: str = PARTITION_COLUMN) -> None:
+        """Remove partition directories (a file-system operation, no job)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for label in labels:
+            hp = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{column}={label}")
+            hp.getFileSystem(conf).delete(hp, True)
+
+    def overwrite_partitions(self, name: str, df: DataFrame, column: str = PARTITION_COLUMN) -> None:
+        """Dynamic overwrite: replace exactly the partitions present in ``df``."""
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(column).parquet(self.path(name)))
+
     # SK-4: append rows with an explicit column list
     def append(self, name: str, df: DataFrame, columns: list[str] | None = None) -> None:
         if columns:
