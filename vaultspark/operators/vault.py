@@ -164,6 +164,10 @@ def latest_states(history: DataFrame, pk: str, hashdiff: str,
     ``last_state`` (Q-5 option): only the state of the key's newest row, by
     load date then effective date.
     """
+    # NULL keys or hash diffs never match the anti join that consumes this; NULL load
+    # dates are never the newest; dropping both up front also makes the two
+    # uses of ``per_state`` identical, so Spark computes it once (exchange reuse).
+    history = history.where(F.col(pk).isNotNull() & F.col(hashdiff).isNotNull() & F.col(LD).isNotNull())
     if mode == "latest_load":
         per_state = history.groupBy(pk, hashdiff).agg(F.max(LD).alias("_ld"))
         per_key = per_state.groupBy(pk).agg(F.max("_ld").alias("_ld"))
