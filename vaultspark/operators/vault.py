@@ -153,7 +153,7 @@ def history_as_of(sat: DataFrame, as_of: dt.datetime | str | None = None,
 
 
 def latest_states(history: DataFrame, pk: str, hashdiff: str,
-                  mode: str = "latest_load") -> DataFrame:
+                  mode: str = "latest_load", with_load_date: bool = False) -> DataFrame:
     """(PK, HASHDIFF) pairs a new row is compared with.
 
     ``latest_load`` (reference, WN-4): every state of the newest load of the
@@ -171,23 +171,46 @@ def latest_states(history: DataFrame, pk: str, hashdiff: str,
     if mode == "latest_load":
         per_state = history.groupBy(pk, hashdiff).agg(F.max(LD).alias("_ld"))
         per_key = per_state.groupBy(pk).agg(F.max("_ld").alias("_ld"))
-        return per_state.join(per_key, [pk, "_ld"]).select(pk, hashdiff)
+        latest = per_state.join(per_key, [pk, "_ld"])
+        if with_load_date:
+            return latest.select(pk, hashdiff, F.col("_ld").alias(LD))
+        return latest.select(pk, hashdiff)
     if mode == "last_state":
         newest = F.max(F.struct(F.col(LD), F.col(EFF), F.col(hashdiff))).alias("_n")
         return history.groupBy(pk).agg(newest).select(pk, F.col(f"_n.{hashdiff}").alias(hashdiff))
     raise ValueError("mode must be 'latest_load' or 'last_state'")
 
 
+def advance_latest(latest: DataFrame, inserted: DataFrame, pk: str, hashdiff: str,
+                   load_date: dt.datetime | str) -> DataFrame:
+    """Latest states after a load at ``load_date`` that inserted ``inserted``.
+
+    ``latest`` holds (PK, HASHDIFF, LOAD_DATE) of every key's newest load; the
+    load is the newest so far.  A key with inserted rows now has ``load_date`` as
+    its newest load: its states are the inserted ones plus any it already had
+    at that date (a rerun); every other key keeps its states.  This touches
+    the latest states only -- O(keys), not O(history)."""
+    ld = load_timestamp(load_date)
+    new = inserted.where(F.col(pk).isNotNull()).select(pk, hashdiff, F.col(LD))
+    keys = new.select(pk).distinct()
+    others = latest.join(keys, pk, "left_anti")
+    same_load = latest.join(keys, pk, "left_semi").where(F.col(LD) == ld)
+    return others.unionByName(same_load).unionByName(new).distinct()
+
+
 def new_sat_rows(source: DataFrame, pk: str, hashdiff: str, payload: list[str],
                  sat: DataFrame | None = None, as_of: dt.datetime | str | None = None,
-                 mode: str = "latest_load") -> DataFrame:
+                 mode: str = "latest_load", latest: DataFrame | None = None) -> DataFrame:
     """Rows to insert into a satellite (DV-15/16): distinct source states whose
-    (PK, HASHDIFF) is not among the latest states of the key (JN-3, AG-2)."""
+    (PK, HASHDIFF) is not among the latest states of the key (JN-3, AG-2).
+    ``latest`` may pass those states precomputed (see :func:`advance_latest`)
+    instead of deriving them from the satellite's history."""
     cols = [pk, hashdiff, *payload, EFF, LD, RS]
     rows = source.select(*cols).distinct()
-    if sat is not None:
+    if latest is None and sat is not None:
         latest = latest_states(history_as_of(sat, as_of, source, pk), pk, hashdiff, mode)
-        rows = rows.join(latest, [pk, hashdiff], "left_anti")
+    if latest is not None:
+        rows = rows.join(latest.select(pk, hashdiff), [pk, hashdiff], "left_anti")
     return rows.select(*cols)
 
 
@@ -195,11 +218,12 @@ def new_sat_rows_with_changes(source: DataFrame, pk: str, hashdiff: str, value:
                               payload: list[str], order_by: list[str],
                               sat: DataFrame | None = None,
                               as_of: dt.datetime | str | None = None,
-                              mode: str = "latest_load", chunk: int | None = 4096) -> DataFrame:
+                              mode: str = "latest_load", chunk: int | None = 4096,
+                              latest: DataFrame | None = None) -> DataFrame:
     """DV-17: in-batch change detection first (consecutive equal ``value``s of a
     key collapse, ordered by ``order_by``), then as :func:`new_sat_rows`."""
     changed = collapse_repeats(source, pk, value, order_by, chunk)
-    return new_sat_rows(changed, pk, hashdiff, payload, sat, as_of, mode)
+    return new_sat_rows(changed, pk, hashdiff, payload, sat, as_of, mode, latest)
 
 
 # --- the reference's loads, by name -------------------------------------------------------
@@ -216,28 +240,30 @@ def link_payment_rows(payment_staging: DataFrame, link: DataFrame | None = None)
 
 
 def sat_payment_rows(payment_staging: DataFrame, sat: DataFrame | None = None,
-                     as_of=None, mode: str = "latest_load") -> DataFrame:
+                     as_of=None, mode: str = "latest_load", latest: DataFrame | None = None) -> DataFrame:
     src = payment_staging.withColumn(EFF, F.col(EFF).cast("timestamp_ntz"))
     return new_sat_rows(src, "PAYMENT_PK", "PAY_DOC_HASHDIFF", ["pay_doc_num", "pay_date", "sum"],
-                        sat, as_of, mode)
+                        sat, as_of, mode, latest)
 
 
 def sat_mdm_rows(mdm_staging: DataFrame, sat: DataFrame | None = None, as_of=None,
-                 mode: str = "latest_load") -> DataFrame:
+                 mode: str = "latest_load", latest: DataFrame | None = None) -> DataFrame:
     # registered_at is hashed as DATE text, stored as TIMESTAMP (Q-8)
     src = mdm_staging.withColumns({
         "registered_at": F.col("registered_at").cast("timestamp_ntz"),
         EFF: F.col(EFF).cast("timestamp_ntz"),
     })
-    return new_sat_rows(src, "MDM_PK", "MDM_HASHDIFF", ["registered_at", "is_vip"], sat, as_of, mode)
+    return new_sat_rows(src, "MDM_PK", "MDM_HASHDIFF", ["registered_at", "is_vip"], sat, as_of, mode,
+                        latest)
 
 
 def sat_user_rows(payment_staging: DataFrame, sat: DataFrame | None = None, as_of=None,
-                  mode: str = "latest_load", chunk: int | None = 4096) -> DataFrame:
+                  mode: str = "latest_load", chunk: int | None = 4096,
+                  latest: DataFrame | None = None) -> DataFrame:
     """Phone history: LAG ordered by effective date, then document number (Q-4)."""
     src = payment_staging.withColumn(EFF, F.col(EFF).cast("timestamp_ntz"))
     return new_sat_rows_with_changes(src, "USER_PK", "USER_HASHDIFF", "phone", ["phone"],
-                                     [EFF, "pay_doc_num"], sat, as_of, mode, chunk)
+                                     [EFF, "pay_doc_num"], sat, as_of, mode, chunk, latest)
 
 
 # Earlier payment vault (DV-18)
