@@ -96,3 +96,26 @@ def test_pipeline_rerun_keeps_reference_semantics(spark, tmp_path):
     _, _, _, pk, hd = pipeline.SATS["sat_user"]
     versions = pipeline._versions(wh, "sat_user_latest", pipeline._latest_schema(pk, hd))
     assert versions == [2013, 2014]
+
+
+def test_stale_latest_version_after_a_crash_falls_back_to_history(spark, tmp_path):
+    """A crash after the 2014 appends but before its latest-state versions were
+    written must not change what 2015 inserts."""
+    from vaultspark.plans import pipeline
+    from vaultspark.sources import fixtures
+    from vaultspark.sources.sinks import Warehouse
+
+    feeds = fixtures.raw_sources(spark, SF_SMALL)
+    clean = Warehouse.for_vault(spark, str(tmp_path / "clean"))
+    crashed = Warehouse.for_vault(spark, str(tmp_path / "crashed"))
+    for wh in (clean, crashed):
+        for y in (2013, 2014):
+            pipeline.run_year(spark, wh, feeds, y, build_marts=False)
+    for name in pipeline.SATS:
+        crashed.drop_partitions(f"{name}_latest", ["2014"], column="version")
+    for wh in (clean, crashed):
+        pipeline.run_year(spark, wh, feeds, 2015, build_marts=False)
+    for name in pipeline.SATS:
+        a = sorted(map(tuple, clean.read(name).collect()), key=repr)
+        b = sorted(map(tuple, crashed.read(name).collect()), key=repr)
+        assert a == b, name

@@ -180,6 +180,12 @@ def _versions(wh: Warehouse, name: str, schema: T.StructType) -> list[int]:
     return sorted(r[0] for r in rows if r[0] is not None)
 
 
+def _loaded_after(sat: DataFrame, when: dt.datetime) -> bool:
+    """Any satellite row loaded after ``when``?  A pushed filter on LOAD_DATE:
+    row groups are skipped by their statistics, and one row answers it."""
+    return sat.where(F.col("LOAD_DATE") > vault.load_timestamp(when)).limit(1).count() > 0
+
+
 def load_sat(wh: Warehouse, name: str, staging_df: DataFrame, load_date: dt.datetime,
              incremental: bool = True) -> None:
     """One satellite load.
@@ -200,9 +206,15 @@ def load_sat(wh: Warehouse, name: str, staging_df: DataFrame, load_date: dt.date
     versions = _versions(wh, latest_name, lschema) if incremental else []
     before = [v for v in versions if v < year]
     prev = before[-1] if before and year not in versions else None
+    if prev is not None and _loaded_after(sat, load_date_of(prev)):
+        prev = None  # the version is stale (a crash after an append, or an older year): use history
     latest = None
     if prev is not None:
         latest = wh.read(latest_name, lschema).where(F.col(VERSION) == prev).drop(VERSION)
+    elif incremental:
+        # rebuilt from history below; drop it (and later ones) first, so a crash
+        # before the rebuild cannot leave a version that looks current
+        wh.drop_partitions(latest_name, [str(v) for v in versions if v >= year], column=VERSION)
     new_name = f"{name}_new_{year}"
     wh.replace(new_name, loader(staging_df, sat, as_of=load_date, latest=latest))
     new_rows = wh.read(new_name, schema)
@@ -215,7 +227,6 @@ def load_sat(wh: Warehouse, name: str, staging_df: DataFrame, load_date: dt.date
         full = vault.history_as_of(wh.read(name, schema), load_date)
         nxt = vault.latest_states(full, pk, hd, with_load_date=True)
     wh.overwrite_partition(latest_name, str(year), nxt, column=VERSION)
-    wh.drop_partitions(latest_name, [str(v) for v in versions if v > year], column=VERSION)
 
 
 def load_sats(wh: Warehouse, stg: dict[str, DataFrame], load_date: dt.datetime,
