@@ -315,7 +315,8 @@ def build() -> tuple[dict[str, Query], dict[str, str]]:
     sql["early_vault_year"] = " union all ".join(
         f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({t}) x" for n, t in early_tables.items())
 
-    q["run_years"] = run_years  # sat_user across years has no plain-SQL oracle; see tests
+    q["run_years"] = run_years
+    sql["run_years"] = _run_years_counts_sql(YEARS)
     return q, sql
 
 
@@ -342,4 +343,36 @@ def _run_year_counts_sql(year: int) -> str:
         f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({s}) x" for n, s in tables.items())
 
 
+def _run_years_counts_sql(years: list[int]) -> str:
+    """Row counts after loading ``years`` in order: every table is a chain of
+    materialised CTEs, one per year, each year's load (reference-style SQL)
+    running against the previous year's table."""
+    ctes: list[str] = []
+
+    def chain(prefix: str, year_sql) -> str:
+        prev = None
+        for y in years:
+            name = f"{prefix}_{y}"
+            new = year_sql(y, f"select * from {prev}" if prev else None)
+            body = new if prev is None else f"select * from {prev} union all ({new})"
+            ctes.append(f"{name} as materialized ({body})")
+            prev = name
+        return prev
+
+    tables = {f"hub_{h}": chain(f"hub_{h}", lambda y, t, h=h: O.hub_sql(h, y, t)) for h in pipeline.HUBS}
+    tables["link_payment"] = chain("link_payment", lambda y, t: O.link_sql(O.staged("payment", y), t))
+    for name in ("sat_user", "sat_payment", "sat_mdm"):
+        tables[name] = chain(name, lambda y, t, n=name: O.sat_year(n, y, t))
+    tables["report_tmp"] = "r"
+    for d in marts.DIMENSIONS:
+        tables[f"dim_{d}"] = f"d_{d}"
+    tables["fact"] = "f"
+    marts_sql = O.mart_ctes(O.report_sql(years))
+    assert marts_sql.startswith("with ")
+    head = "with " + ", ".join(ctes) + ", " + marts_sql[len("with "):]
+    order = pipeline.VAULT_TABLES + pipeline.MART_TABLES
+    return head + " union all ".join(
+        f"select '{n}' table_name, cast(count(*) as bigint) row_count from {tables[n]}" for n in order)
+
+
 QUERIES, ORACLE_SQL = build()
