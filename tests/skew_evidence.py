@@ -43,6 +43,14 @@ def main() -> None:
     plain.write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("bucketed", "collapse_repeats")
     vault.collapse_repeats(df, "k", "v", ["d", "t"]).write.format("noop").mode("overwrite").save()
+    hub_in = df.select(F.col("k").alias("PK"), F.col("t").cast("string").alias("KEY"),
+                       F.lit("2013-01-01 00:00:00").cast("timestamp_ntz").alias("LOAD_DATE"),
+                       F.lit("SRC").alias("RECORD_SOURCE"))
+    spark.sparkContext.setJobGroup("hub-rownum", "row_number window")
+    rn = F.row_number().over(W.partitionBy("PK").orderBy("LOAD_DATE", "RECORD_SOURCE", "KEY"))
+    hub_in.withColumn("rn", rn).where("rn = 1").write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobGroup("hub-agg", "first_per_key aggregate")
+    vault.new_hub_rows(hub_in, "PK", "KEY").write.format("noop").mode("overwrite").save()
     app = spark.sparkContext.applicationId
     spark.stop()
 
@@ -71,7 +79,7 @@ def main() -> None:
         if not grp or len(rs) < 2:
             continue
         mean = sum(rs) / len(rs)
-        print(f"{grp:9s} stage {sid:3d}: tasks={len(rs):3d} max={max(rs):>9,d} mean={mean:>11,.0f} "
+        print(f"{grp:10s} stage {sid:3d}: tasks={len(rs):3d} max={max(rs):>9,d} mean={mean:>11,.0f} "
               f"max/mean={max(rs) / mean:5.1f}")
 
 
