@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vaultspark.llm import simhash
-from vaultspark.llm.common import table
+from vaultspark.llm import quality_mil, quality_rules, simhash
+from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,3 +24,28 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-word shingles, links at 4 or fewer of 64 bits, all documents."""
     out = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return out.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the log-likelihood ratio of every document; trusted are those labelled quality 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    out = quality_rules.judge(spark, docs, trusted)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "score", "kept")
+
+
+# Labels may be learned from documents whose crc32(doc_id as text) modulo 4 is not 2 (fixed by the contract).
+def held_out(n: int, fold: int = 2):
+    return crc_mod("doc_id", n) == fold
+
+
+@query
+def op5_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every whole text; label 1 is predicted at 0.7 or more."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_mil.fit(spark, docs, table(spark, sf_dir, "labels"), learn=~held_out(4))
+    out = quality_mil.score(docs, model)
+    return out.select("doc_id", held_out(4).alias("held_out"), "score",
+                      (F.col("score") >= quality_mil.THRESHOLD).cast("int").alias("predicted"))

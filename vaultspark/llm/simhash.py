@@ -256,7 +256,8 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 4, max_bits: int = 4, group: int = GROUP) -> DataFrame:
-    """(doc_id, fp, component_id): one row per row of ``docs``.
+    """(doc_id, fp, component_id, root): one row per row of ``docs``; root is the
+    group's smallest fingerprint.
 
     component_id is the smallest doc_id reachable over links, itself included.
     Texts that are null, empty or without words share fingerprint zero.  Repeated
@@ -268,8 +269,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     tree = components(spark, links(spark, classes.select("fp"), max_bits, group))
     rooted = classes.join(tree, classes.fp == tree.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     best = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = stored(spark, rooted.join(best, "root").select("fp", "component_id"), "component")
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = stored(spark, rooted.join(best, "root").select("fp", "component_id", "root"), "component")
+    return fps.join(of, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def hex_fingerprint(c: str = "fp"):
@@ -279,16 +280,26 @@ def hex_fingerprint(c: str = "fp"):
 def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one document of each group: the one whose id is the group's
-    smallest.  Rows repeated under that id leave one (the smallest by its other
-    columns); of groups without any id, one row stays per fingerprint."""
+    smallest.  Rows repeated under that id leave one (the smallest by its columns in
+    order); of a group without any id, the smallest row of one text stays."""
     found = near_duplicates(spark, docs, id_col, text_col, words, max_bits)
     first = stored(spark, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .groupBy("doc_id").agg(F.count("*").alias("copies"), F.min("fp").alias("fp")), "first")
-    key = f"`{id_col}`"
-    alone = docs.join(first.filter("copies = 1").select(F.col("doc_id").alias("_rep_id")),
-                      F.col(key) == F.col("_rep_id"), "left_semi")
-    again = docs.join(first.filter("copies > 1 and doc_id is not null").select(F.col("doc_id").alias("_rep_id")),
-                      F.col(key) == F.col("_rep_id"), "left_semi")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = again.groupBy(F.col(key).alias("_rep_id")).agg(F.min(whole).alias("_row")).select("_row.*")
-    return alone.union(again)
+                   .groupBy("doc_id").agg(F.count("*").alias("copies")), "first")
+    key, whole = F.col(f"`{id_col}`"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def rows(copies: str) -> DataFrame:
+        ids = first.filter(copies).filter("doc_id is not null").select(F.col("doc_id").alias("_rep_id"))
+        return docs.join(ids, key == F.col("_rep_id"), "left_semi")
+
+    kept = rows("copies = 1").union(
+        rows("copies > 1").groupBy(key.alias("_rep_id")).agg(F.min(whole).alias("_row")).select("_row.*"))
+    if not first.filter("doc_id is null").head(1):
+        return kept
+    text = F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), 256)
+    nameless = docs.filter(key.isNull())
+    of = fingerprints(nameless.select(text.alias("sha"), F.col(f"`{text_col}`").alias("words")).distinct(), "sha", "words", words)
+    lone = found.filter("doc_id is null and component_id is null").select("fp", "root").distinct()
+    shas = of.withColumnRenamed("doc_id", "sha").join(lone, "fp").groupBy("root").agg(F.min("sha").alias("_sha"))
+    some = (nameless.join(shas, text == F.col("_sha"), "left_semi")
+            .groupBy(text.alias("_sha")).agg(F.min(whole).alias("_row")).select("_row.*"))
+    return kept.union(some)
