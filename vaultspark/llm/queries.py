@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import quality_mil, quality_rules, simhash
+from vaultspark.llm import decontaminate, quality_mil, quality_rules, simhash
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,9 @@ def op5_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_mil.score(docs, model)
     return out.select("doc_id", held_out(4).alias("held_out"), "score",
                       (F.col("score") >= quality_mil.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document, benchmark item) pairs: items that a document holds, exchanged numbers and names included."""
+    return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
