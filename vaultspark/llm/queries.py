@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import decontaminate, quality_mil, quality_rules, simhash
+from vaultspark.llm import decontaminate, packing, quality_mil, quality_rules, simhash
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def op5_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(document, benchmark item) pairs: items that a document holds, exchanged numbers and names included."""
     return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens; a piece's ids are left out of the digest."""
+    return packing.pack(spark, table(spark, sf_dir, "documents"), window=1024, vocabulary="byte_bpe_50k", keep_ids=False)

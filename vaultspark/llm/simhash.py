@@ -12,8 +12,9 @@ bits.  Pigeonhole: with at most 4 errors over three segments, the two segments
 with the fewest have at most 2 together.  So for one of the three segment
 pairs some word lies within one bit of both fingerprints' pairs, and both emit
 the pair of indices that this word decodes to: about 29 keys of 24 bits per
-fingerprint lose no link.  Equal keys meet in a sorted exchange and are verified
-by XOR and bit count.
+fingerprint lose no link.  Equal keys meet and are verified by XOR and bit count:
+up to three members of a key inside the aggregate that counts it, more in a sorted
+exchange.
 
 Scale: equal fingerprints are one row first (map-side aggregate).  Keys that
 many fingerprints share are counted, and such a bucket is cut into blocks whose
@@ -208,7 +209,16 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = 4, group: int = G
     if max_bits > 4:
         raise ValueError("three segments and these keys find links of up to 4 bits")
     keys = fps.mapInArrow(_key_rows, "key bigint, fp bigint")
-    counts = keys.groupBy("key").count().filter("count > 1")
+    buckets = keys.groupBy("key").agg(F.count("*").alias("count"), F.min("fp").alias("a"), F.max("fp").alias("b"),
+                                      F.bit_xor("fp").alias("x"))
+    # up to three members are known from their smallest, largest and XOR, and verified here; chance meetings end at this point
+    near = lambda p, q: F.bit_count(p.bitwiseXOR(q)) <= max_bits
+    a, b = F.col("a"), F.col("b")
+    mid = F.when(F.col("count") == 3, F.col("x").bitwiseXOR(a).bitwiseXOR(b)).otherwise(a)
+    met_few = [F.struct(p.alias("u"), q.alias("v")) for p, q in ((a, b), (a, F.col("c")), (F.col("c"), b))]
+    few = buckets.filter("count between 2 and 3").withColumn("c", mid).filter(near(a, b) | ((F.col("count") == 3) & (near(a, F.col("c")) | near(F.col("c"), b))))
+    few = few.select(F.explode(F.filter(F.array(*met_few), lambda e: near(e["u"], e["v"]) & (e["u"] != e["v"]))).alias("e")).select("e.u", "e.v")
+    counts = buckets.filter("count > 3").select("key", "count")
     met = keys.join(counts, "key")
     blocks = F.ceil(F.col("count") / F.lit(group // 2))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
@@ -220,7 +230,7 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = 4, group: int = G
     grp = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
     met = met.select(grp.alias("grp"), "fp")
     return (met.repartition("grp").sortWithinPartitions("grp")
-            .mapInArrow(_verifier(max_bits), "u bigint, v bigint"))
+            .mapInArrow(_verifier(max_bits), "u bigint, v bigint").union(few))
 
 
 # -- components -----------------------------------------------------------
