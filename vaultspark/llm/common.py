@@ -77,18 +77,19 @@ def small_batches(it: Iterator[pa.RecordBatch], col: str, limit: int) -> Iterato
 
 
 def numbered(spark: SparkSession, df: DataFrame, group: list[str], spread: list[str], weight: Column | None = None,
-             out: str = "number", per_task: int = 50_000, rows: int | None = None) -> DataFrame:
+             out: str = "number", per_task: int = 50_000, rows: int | None = None, salt: list[str] | None = None) -> DataFrame:
     """Number the rows of each ``group`` from 0 without gaps, or give the sum of
     ``weight`` of the rows before each.
 
     A group of any size is dealt to buckets by a hash of ``spread`` (columns
     that tell rows apart): bucket totals are pre-aggregated, prefixed per
     group, and only then is each bucket ordered.  No task holds a group.
-    ``df`` must be a stored table (it is read twice)."""
+    ``df`` must be a stored table (it is read twice).  ``salt`` names the columns
+    that are hashed if they are not ``spread``."""
     rows = df.count() if rows is None else rows
     buckets = max(1, -(-rows // per_task))
     w = F.lit(1).cast("long") if weight is None else weight.cast("long")
-    with_b = df.withColumn("_b", F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(buckets))).withColumn("_w", w)
+    with_b = df.withColumn("_b", F.pmod(F.xxhash64(*[F.col(c) for c in salt or spread]), F.lit(buckets))).withColumn("_w", w)
     totals = with_b.groupBy(*group, "_b").agg(F.sum("_w").alias("_t"))
     # the totals of a group are at most ``buckets`` rows; with many buckets they are prefixed in two steps
     from pyspark.sql import Window as W
@@ -97,7 +98,7 @@ def numbered(spark: SparkSession, df: DataFrame, group: list[str], spread: list[
     coarse = F.floor(F.col("_b") / span)
     upper = totals.groupBy(*group, coarse.alias("_c")).agg(F.sum("_t").alias("_ct"))
     upper = upper.withColumn("_cb", F.sum("_ct").over(
-        W.partitionBy(*group, F.lit(0)).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)))
+        W.partitionBy(*(group or [F.lit(0)])).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)))
     lower = totals.withColumn("_c", coarse).withColumn("_tb", F.sum("_t").over(
         W.partitionBy(*group, "_c").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)))
     base = (_null_safe(lower, upper.drop("_ct"), [*group, "_c"])
@@ -110,7 +111,7 @@ def numbered(spark: SparkSession, df: DataFrame, group: list[str], spread: list[
 
 def _null_safe(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     """Inner join on columns that are never null here."""
-    return a.join(b, on) if on else a.crossJoin(b)
+    return a.join(b, on)
 
 
 def long_schema(text: str) -> T.StructType:

@@ -71,9 +71,16 @@ def canonical(tokens: Column) -> Column:
 
 def window_hashes(tokens: Column, size: int = WINDOW) -> Column:
     """Hash of every window of ``size`` tokens; of the whole sequence when it is shorter; empty for none."""
+    def joined(step: int):
+        return lambda x: F.zip_with(x, F.slice(x, step + 1, F.greatest(F.size(x) - step, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+
     def build(h: Column) -> Column:
-        n = F.size(h)
-        return (F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.xxhash64(F.slice(h, i, size))))
+        n, out, width = F.size(h), h, 1
+        while width < size:  # windows of 1, 2, 4, ... elements: a hash of two overlapping or adjacent windows each time
+            step = min(width, size - width)
+            out = let(out, joined(step))
+            width += step
+        return (F.when(n >= size, F.slice(out, 1, n - size + 1))
                 .when(n > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>")))
 
     return let(F.transform(tokens, lambda x: F.xxhash64(x)), build)

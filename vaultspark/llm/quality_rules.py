@@ -41,19 +41,19 @@ def shifted(a: Column, by: int) -> Column:
     return F.slice(a, by + 1, F.greatest(F.size(a) - by, F.lit(0)))
 
 
-def pairs(hashes: Column) -> Column:
-    """Hashes of neighbouring elements (one fewer than the elements)."""
-    return let(hashes, lambda h: F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), shifted(h, 1),
-                                            lambda a, b: F.xxhash64(a, b)))
+def pairs(hashes: Column, by: int = 1) -> Column:
+    """Hash of each element with the one ``by`` places on; the last ``by`` elements meet null."""
+    return let(hashes, lambda h: F.zip_with(h, shifted(h, by), lambda a, b: F.xxhash64(a, b)))
 
 
-def repeated_words(w: Column, window: int = WINDOW) -> Column:
-    """Words inside ``window``-word windows that occur twice or more, first included."""
-    def windows(h: Column) -> Column:
-        last = F.size(h) - window + 1
-        return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(h, i, window)))
-                      ).otherwise(F.array().cast("array<bigint>"))
+def doubled(hashes: Column) -> Column:
+    """Hashes of all windows of 8 elements, in three linear steps (windows of 2, 4 and 8)."""
+    return let(let(let(hashes, lambda h: pairs(h, 1)), lambda p: pairs(p, 2)),
+               lambda p: let(pairs(p, 4), lambda x: F.slice(x, 1, F.greatest(F.size(x) - 7, F.lit(0)))))
 
+
+def repeated_words(w: Column) -> Column:
+    """Words inside ``WINDOW``-word windows that occur twice or more, first included."""
     def covered(x: Column) -> Column:
         # windows in order of (hash, position); those equal to a neighbour occur twice or more
         order = F.array_sort(F.transform(x, lambda h, p: F.struct(h.alias("h"), p.alias("p"))))
@@ -66,13 +66,13 @@ def repeated_words(w: Column, window: int = WINDOW) -> Column:
                            | F.coalesce(z["s"]["h"] == z["b"]["h"], F.lit(False)))
             return F.array_sort(F.transform(hit, lambda z: z["s"]["p"]))
         def union(p: Column) -> Column:
-            gaps = F.zip_with(p, F.concat(F.slice(p, 2, F.size(p)), F.array(F.element_at(p, -1) + window)),
-                              lambda a, b: F.least(F.lit(window), b - a))
+            gaps = F.zip_with(p, F.concat(F.slice(p, 2, F.size(p)), F.array(F.element_at(p, -1) + WINDOW)),
+                              lambda a, b: F.least(F.lit(WINDOW), b - a))
             return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda acc, g: acc + g)
         return let(let(order, twice), union)
 
     hashes = F.transform(w, lambda x: F.xxhash64(x))
-    return let(let(hashes, windows),
+    return let(doubled(hashes),
                lambda x: F.when(F.size(F.array_distinct(x)) < F.size(x), covered(x)).otherwise(F.lit(0).cast("bigint")))
 
 
@@ -80,16 +80,17 @@ def measures(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataF
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and
     base_failed (names after ``prefix``).  A null text counts as empty."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    blank = F.translate(text, SPACE_CHARS, "")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE_CHARS))) > 0)
-    w = words(text)
-    out = docs.withColumns({
-        f"{prefix}n_words": F.size(w).cast("long"),
-        f"{prefix}word_chars": F.length(blank).cast("long"),
-        f"{prefix}n_symbols": (F.length(blank) - F.length(F.translate(blank, SYMBOLS, ""))).cast("long"),
+    counts = let(words(text), lambda w: F.struct(
+        F.size(w).alias("words"), F.length(F.array_join(w, "")).alias("chars"), repeated_words(w).alias("repeat")))
+    own = f"{prefix}_of_words"
+    out = docs.withColumn(own, counts).withColumns({
+        f"{prefix}n_words": F.col(f"`{own}`.words").cast("long"),
+        f"{prefix}word_chars": F.col(f"`{own}`.chars").cast("long"),
+        f"{prefix}n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         f"{prefix}n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        f"{prefix}n_repeat_words": repeated_words(w),
-    })
+        f"{prefix}n_repeat_words": F.col(f"`{own}`.repeat"),
+    }).drop(own)
     failed = (F.col(f"{prefix}n_words") < MIN_WORDS) | (
         F.lit(100) * F.col(f"{prefix}n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col(f"{prefix}n_words"))
     return out.withColumn(f"{prefix}base_failed", failed)
@@ -98,7 +99,8 @@ def measures(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataF
 def features(text: Column) -> Column:
     """Hashes of a text's runs and of neighbouring runs (array of longs; empty for no runs)."""
     runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(RUNS), F.lit(0))
-    return let(F.transform(runs, lambda x: F.xxhash64(x)), lambda h: F.concat(h, pairs(h)))
+    return let(F.transform(runs, lambda x: F.xxhash64(x)),
+               lambda h: F.concat(h, F.slice(pairs(h), 1, F.greatest(F.size(h) - 1, F.lit(0)))))
 
 
 def bucket_weights(spark: SparkSession, docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
@@ -107,7 +109,8 @@ def bucket_weights(spark: SparkSession, docs: DataFrame, trusted: DataFrame, id_
     first column; ids that are null or not in ``docs`` have no effect."""
     ids = trusted.select(F.col(trusted.columns[0]).alias("_tid")).filter("_tid is not null").distinct().withColumn("_in", F.lit(1))
     texts = docs.select(F.col(f"`{id_col}`").alias("_did"), F.col(f"`{text_col}`").cast("string").alias("_t"))
-    src = texts.join(ids, F.col("_did") == F.col("_tid"), "left").select(
+    # the ids are the hashed side, so the texts are not sorted
+    src = texts.join(ids.hint("shuffle_hash"), F.col("_did") == F.col("_tid"), "left").select(
         F.coalesce("_in", F.lit(0)).alias("_in"), F.explode(features(F.col("_t"))).alias("_f"))
     counts = (src.groupBy(F.pmod("_f", F.lit(buckets)).cast("int").alias("b"))
               .agg(F.count("*").alias("raw"), F.sum("_in").alias("target")))
