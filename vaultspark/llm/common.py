@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vaultspark.sources.fixtures import table
 from vaultspark.sources.sinks import shared_root
@@ -113,6 +112,3 @@ def _null_safe(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     """Inner join on columns that are never null here."""
     return a.join(b, on)
 
-
-def long_schema(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import decontaminate, packing, quality_mil, quality_rules, simhash
+from vaultspark.llm import decontaminate, packing, quality_mil, quality_rules, sharding, simhash, warc
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens; a piece's ids are left out of the digest."""
     return packing.pack(spark, table(spark, sf_dir, "documents"), window=1024, vocabulary="byte_bpe_50k", keep_ids=False)
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 shards of near equal bytes; documents with equal texts stay together."""
+    out = sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived and read back; equal payloads of 1000 bytes or more are written once."""
+    out = warc.archive(spark, table(spark, sf_dir, "pages"), revisit_from=1000)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
