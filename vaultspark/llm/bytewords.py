@@ -65,31 +65,44 @@ class Hasher:
         return Words(raw, first, row, start, end, h)
 
 
-def pieces(texts: list[bytes], limit: int = LIMIT) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """(rows, parts): the texts in groups of about ``limit`` bytes; a longer text is
-    cut at white space and its parts come in order, so work space stays bounded.
-    (A single word beyond ``limit`` stays whole.)"""
-    rows: list[int] = []
-    parts: list[bytes] = []
+@dataclass
+class Part:
+    """Some texts, or parts of one text in order: ``rows`` are their indices, ``head`` and
+    ``tail`` tell whether a part begins and ends its text."""
+
+    rows: np.ndarray
+    texts: list[bytes]
+    head: np.ndarray
+    tail: np.ndarray
+
+
+def pieces(texts: list[bytes], limit: int = LIMIT) -> Iterator[Part]:
+    """The texts in groups of about ``limit`` bytes; a longer text is cut at white space
+    and its parts come in order, so work space stays bounded.  (A single word beyond
+    ``limit`` stays whole.)"""
+    held: list[tuple[int, bytes, bool, bool]] = []
     size = 0
+
+    def out() -> Part:
+        rows, parts, head, tail = zip(*held)
+        return Part(np.array(rows), list(parts), np.array(head), np.array(tail))
+
     for r, t in enumerate(texts):
         at = 0
         while True:
             stop = len(t)
             if stop - at > limit:
-                cut = at + limit
-                while cut < stop and not BLANK[t[cut]]:
-                    cut += 1
-                stop = cut
-            part = t[at:stop] if at or stop < len(t) else t
-            if parts and size + len(part) > limit:
-                yield np.array(rows), parts
-                rows, parts, size = [], [], 0
-            rows.append(r)
-            parts.append(part)
+                stop = at + limit
+                while stop < len(t) and not BLANK[t[stop]]:
+                    stop += 1
+            part = t[at:stop]
+            if held and size + len(part) > limit:
+                yield out()
+                held, size = [], 0
+            held.append((r, part, at == 0, stop >= len(t)))
             size += len(part) + 1
             at = stop
             if at >= len(t):
                 break
-    if parts:
-        yield np.array(rows), parts
+    if held:
+        yield out()

@@ -189,8 +189,8 @@ def sample_bags(docs: DataFrame, labelled: DataFrame, fit_passages: int = FIT_PA
         hasher = Hasher()
         for b in small_batches(it, "text", 4 << 20):
             out = []
-            for r, (rows, parts) in enumerate(next(pieces([t], len(t) + 1)) for t in texts(b.column("text"))):
-                _, f, k, of = passages(hasher, rows, parts)
+            for text in texts(b.column("text")):
+                _, f, k, of = passages(hasher, np.zeros(1, np.int64), [text])
                 pick = np.unique(np.linspace(0, len(f) - 1, min(len(f), fit_passages)).astype(np.int64))
                 inside = np.isin(of, pick)
                 out.append((f[pick].tobytes(), k[inside].astype(np.int32).tobytes(),
@@ -243,8 +243,8 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 out = np.full(len(raw), 0.5)
             else:
                 top, bottom = np.zeros((len(raw), len(model.c))), np.zeros(len(raw))
-                for rows, parts in pieces(raw):
-                    row, f, k, of = passages(hasher, rows, parts)
+                for part in pieces(raw):
+                    row, f, k, of = passages(hasher, part.rows, part.texts)
                     h, e = model.parts(model.encode(f, k, of))
                     np.add.at(top, row, h * e[:, None])
                     np.add.at(bottom, row, e)

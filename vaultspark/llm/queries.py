@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import decontaminate, packing, quality_mil, quality_rules, sharding, simhash, warc
+from vaultspark.llm import decontaminate, ngram_trie, packing, quality_mil, quality_rules, sharding, simhash, warc
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived and read back; equal payloads of 1000 bytes or more are written once."""
     out = warc.archive(spark, table(spark, sf_dir, "pages"), revisit_from=1000)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every whole text, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = ngram_trie.learn(spark, docs, learn_from=~held_out(7))
+    out = ngram_trie.score(docs, model)
+    return out.select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known",
+                      F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
