@@ -2,9 +2,9 @@
 
 Native DataFrame expressions only.  Every text is cut into runs of letters and
 digits and runs of other visible characters; the runs (unigrams) and neighbouring
-runs (bigrams) are hashed into ``buckets`` counts.  Two add-one multinomials are
-estimated, one over the trusted target documents and one over the raw corpus (all
-documents).  A document's score is the mean log ratio of its n-grams, so its
+runs (bigrams) are hashed into ``buckets`` counts.  Two multinomials are estimated, one
+over the trusted target documents and one over the raw corpus (all documents); both get
+the same prior count per bucket, so that rare n-grams weigh little.  A document's score is the mean log ratio of its n-grams, so its
 length does not matter; it is kept at ``threshold`` or more.
 
 Scale: corpus counts are one aggregate into at most ``buckets`` groups with map-side
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from vaultspark.llm.common import SPACE, SPACE_CHARS, let, stored
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
+#: Added to both sides of a bucket's observed and expected target count.
+PRIOR = 4.0
 THRESHOLD = -0.2
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -46,10 +48,16 @@ def pairs(hashes: Column, by: int = 1) -> Column:
     return let(hashes, lambda h: F.zip_with(h, shifted(h, by), lambda a, b: F.xxhash64(a, b)))
 
 
-def doubled(hashes: Column) -> Column:
-    """Hashes of all windows of 8 elements, in three linear steps (windows of 2, 4 and 8)."""
-    return let(let(let(hashes, lambda h: pairs(h, 1)), lambda p: pairs(p, 2)),
-               lambda p: let(pairs(p, 4), lambda x: F.slice(x, 1, F.greatest(F.size(x) - 7, F.lit(0)))))
+def windows(hashes: Column) -> Column:
+    """Hashes of all windows of 8 elements, in linear steps (windows of 2, 4 and 8); empty
+    where too few windows of 4 repeat for any of 8 to repeat (each such holds 5 of 4)."""
+    def eight(four: Column) -> Column:
+        n = F.size(four) - 3
+        inner = F.slice(four, 1, F.greatest(n, F.lit(0)))
+        all8 = let(pairs(four, 4), lambda x: F.slice(x, 1, F.greatest(F.size(x) - 7, F.lit(0))))
+        return F.when(F.size(F.array_distinct(inner)) <= n - 5, all8).otherwise(F.array().cast("array<bigint>"))
+
+    return let(let(let(hashes, lambda h: pairs(h, 1)), lambda p: pairs(p, 2)), eight)
 
 
 def repeated_words(w: Column) -> Column:
@@ -72,7 +80,7 @@ def repeated_words(w: Column) -> Column:
         return let(let(order, twice), union)
 
     hashes = F.transform(w, lambda x: F.xxhash64(x))
-    return let(doubled(hashes),
+    return let(windows(hashes),
                lambda x: F.when(F.size(F.array_distinct(x)) < F.size(x), covered(x)).otherwise(F.lit(0).cast("bigint")))
 
 
@@ -105,7 +113,7 @@ def features(text: Column) -> Column:
 
 def bucket_weights(spark: SparkSession, docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text", buckets: int = BUCKETS) -> list[float]:
-    """Log of target over raw probability for each of the ``buckets`` buckets.  ``trusted`` holds the ids of target documents in its
+    """Log of target over raw probability for each of the ``buckets`` buckets (smoothed).  ``trusted`` holds the ids of target documents in its
     first column; ids that are null or not in ``docs`` have no effect."""
     ids = trusted.select(F.col(trusted.columns[0]).alias("_tid")).filter("_tid is not null").distinct().withColumn("_in", F.lit(1))
     texts = docs.select(F.col(f"`{id_col}`").alias("_did"), F.col(f"`{text_col}`").cast("string").alias("_t"))
@@ -117,8 +125,8 @@ def bucket_weights(spark: SparkSession, docs: DataFrame, trusted: DataFrame, id_
     counts = spark.range(buckets).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").fillna(0)
     counts = stored(spark, counts, "ngram-counts")  # at most ``buckets`` rows
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
-    raw, target = (total["raw"] or 0) + buckets, (total["target"] or 0) + buckets
-    weight = F.log((F.col("target") + 1.0) / F.lit(float(target))) - F.log((F.col("raw") + 1.0) / F.lit(float(raw)))
+    share = (total["target"] or 0) / (total["raw"] or 1)
+    weight = F.log((F.col("target") + F.lit(PRIOR)) / (F.col("raw") * F.lit(share) + F.lit(PRIOR)))
     return [r["w"] for r in counts.select("b", weight.alias("w")).orderBy("b").collect()]
 
 
@@ -130,8 +138,7 @@ def judge(spark: SparkSession, docs: DataFrame, trusted: DataFrame, id_col: str
 
     Every row is judged by itself: null texts count as empty and fail the base
     rules, repeated rows are judged alike, an id may be null or repeated, an empty
-    table gives an empty result.  Without trusted documents all weights compare the
-    raw corpus with a uniform multinomial."""
+    table gives an empty result.  Without trusted documents all weights are zero."""
     weights = bucket_weights(spark, docs, trusted, id_col, text_col, buckets)
     out = measures(docs, text_col, prefix)
     vector = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")  # folded to one literal

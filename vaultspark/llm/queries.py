@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import decontaminate, ngram_trie, packing, quality_mil, quality_rules, sharding, simhash, warc
+from vaultspark.llm import decontaminate, html_blocks, ngram_trie, packing, quality_mil, quality_rules, sharding, simhash, warc
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_trie.score(docs, model)
     return out.select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known",
                       F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query
+def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_blocks.extract(spark, table(spark, sf_dir, "pages"))
