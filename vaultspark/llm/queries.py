@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import decontaminate, html_blocks, ngram_trie, packing, quality_mil, quality_rules, sharding, simhash, warc
+from vaultspark.llm import chat_hmm, decontaminate, html_blocks, ngram_trie, packing, quality_mil, quality_rules, sharding, simhash, warc
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,25 @@ def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_blocks.extract(spark, table(spark, sf_dir, "pages"))
+
+
+def raw_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in transcripts (conv_id, seq, text): the conversations' turns written down with the
+    speaker markers of five tools; in every tenth turn the marker is missing after a blank line."""
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
+    role = F.col("role")
+    plain = F.concat(F.initcap(role), F.lit(": "))
+    human = F.when(role == "user", "Human: ").when(role == "assistant", "AI: ").otherwise("System: ")
+    letter = F.when(role == "user", "Q: ").when(role == "assistant", "A: ").otherwise("Instructions: ")
+    heading = F.concat(F.lit("### "), F.initcap(role), F.lit("\n"))
+    bracket = F.concat(F.lit("["), role, F.lit("] "))
+    mark = (F.when(style == 0, plain).when(style == 1, human).when(style == 2, letter).when(style == 3, heading).otherwise(bracket))
+    bare = (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(10)) == 0) & (F.col("turn") > 0)
+    text = F.concat(F.when(bare | role.isNull(), F.lit("\n")).otherwise(mark), F.coalesce("text", F.lit("")))
+    return table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("seq"), text.alias("text"))
+
+
+@query
+def op1_chat_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns, roles and canonical form of every transcript."""
+    return chat_hmm.parse_transcripts(spark, raw_transcripts(spark, sf_dir))
