@@ -22,10 +22,12 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored at the classifier's threshold or more.  The model is learned from
-    the labelled rows among ``docs``; when these are not of both labels, all stay.  Rows
-    are scored in place of their text, so repeated and null ids stay apart."""
-    model = quality_mil.fit(spark, docs, table(spark, sf_dir, "labels"), learn=crc_mod("doc_id", 4) != 2)
+    """Documents scored at the classifier's threshold or more.  The model is learned from the
+    labelled rows of the raw documents, as the stage before has taken most examples of label 0
+    away; when those are not of both labels, all stay.  A whole row stands in for the
+    id, so repeated and null ids stay apart."""
+    raw = table(spark, sf_dir, "documents")
+    model = quality_mil.fit(spark, raw, table(spark, sf_dir, "labels"), learn=crc_mod("doc_id", 4) != 2)
     if model is None:
         return docs
     whole = docs.select(F.struct(*docs.columns).alias("_row"), "text")

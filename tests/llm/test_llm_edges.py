@@ -100,7 +100,7 @@ def test_pipeline_equals_its_operators(spark):
     assert a.columns == docs.columns
     assert {r.doc_id for r in a.collect()} == {r.doc_id for r in quality_rules.judge(spark, docs, good).filter("kept").collect()}
     b = steps["quality_classifier"](spark, a, SMALL).cache()
-    model = quality_mil.fit(spark, a, table(spark, SMALL, "labels"), learn=crc_mod("doc_id", 4) != 2)
+    model = quality_mil.fit(spark, docs, table(spark, SMALL, "labels"), learn=crc_mod("doc_id", 4) != 2)
     passed = {r.doc_id for r in quality_mil.score(a, model).collect() if r.score >= quality_mil.THRESHOLD}
     assert b.columns == docs.columns and {r.doc_id for r in b.collect()} == passed
     c = steps["near_dedup"](spark, b, SMALL).cache()
