@@ -140,3 +140,47 @@ def test_backfill_equals_yearly_reloads(spark, tmp_path):
         a = sorted(map(tuple, one.read(f"ods_{src}", schema).collect()), key=repr)
         b = sorted(map(tuple, two.read(f"ods_{src}", schema).collect()), key=repr)
         assert a == b, src
+
+
+def _forget(spark, wh, name):
+    spark.sql(f"DROP TABLE {wh.table_name(name)}")  # the catalog entry only (external)
+
+
+def test_bucket_number_is_kept_with_the_table(spark, tmp_path):
+    import pytest
+
+    from vaultspark.operators import vault
+
+    s = schemas.hub_schema("account")
+    rows = spark.createDataFrame([(f"{i:032x}", str(i), dt.datetime(2013, 1, 1), "X") for i in range(500)], s)
+    first = Warehouse.for_vault(spark, str(tmp_path), n=8)
+    first.create_if_missing("hub_account", s)
+    first.append("hub_account", rows)
+    for _ in range(2):  # reopened by sessions that would choose 4: read, rerun and append keep all keys once
+        _forget(spark, first, "hub_account")
+        again = Warehouse.for_vault(spark, str(tmp_path), n=4)
+        again.append("hub_account", rows.limit(0))
+        hub = again.read("hub_account", s)
+        assert hub.select("ACCOUNT_PK").distinct().count() == 500
+        assert vault.new_hub_rows(rows, "ACCOUNT_PK", "ACCOUNT_KEY", hub).count() == 0
+        assert again.bucket_count("hub_account") == 8
+    _forget(spark, first, "hub_account")
+    spark.sql(f"CREATE TABLE {first.table_name('hub_account')} (ACCOUNT_PK string) USING parquet "
+              f"CLUSTERED BY (ACCOUNT_PK) INTO 4 BUCKETS LOCATION '{tmp_path}/hub_account'")
+    with pytest.raises(ValueError, match="number of buckets"):
+        again.append("hub_account", rows)
+    _forget(spark, first, "hub_account")
+
+
+def test_remains_of_a_killed_write_are_no_table(spark, tmp_path):
+    wh = Warehouse.for_vault(spark, str(tmp_path), n=4)
+    for name in ("ods_user", "hub_account", "ods_issue"):
+        (tmp_path / name / "_temporary" / "0").mkdir(parents=True)
+        assert not wh.exists(name)
+    s = schemas.hub_schema("account")
+    row = spark.createDataFrame([("pk", "1", dt.datetime(2013, 1, 1), "X")], s)
+    assert wh.write_once("ods_user", row) and wh.read("ods_user").count() == 1
+    assert wh.create_if_missing("hub_account", s) and wh.create_if_missing("ods_issue", schemas.ODS_ISSUE)
+    wh.append("hub_account", row)
+    assert wh.read("hub_account", s).count() == 1 and not wh.create_if_missing("hub_account", s)
+    _forget(spark, wh, "hub_account")

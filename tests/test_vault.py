@@ -155,3 +155,19 @@ def test_plans_use_anti_joins_and_partial_aggregates(spark):
     assert "LeftAnti" in plan
     sat_plan = vault.sat_payment_rows(st, vault.sat_payment_rows(st), LD13)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in sat_plan and "Window" not in sat_plan
+
+
+def test_collapse_repeats_with_null_order_values(spark):
+    """NULL dates and NULL tie-breakers against a plain LAG, with and without ``chunk``."""
+    import itertools
+
+    days = [dt.date(2013, 1, 1), dt.date(2013, 1, 2), None]
+    rows = [(k, d, n, v) for i, (k, d, n) in enumerate(itertools.product(["a", None], days, [1, 2, 9, None]))
+            for v in [str(i // 3 % 2)]] + [("b", days[0], 3, "1"), ("b", None, 1, "1"), ("b", None, 2, "1")]
+    df = spark.createDataFrame(rows, "k string, d date, n int, v string")
+    df.createOrReplaceTempView("collapse_nulls")
+    want = spark.sql("""SELECT k, d, n, v FROM (SELECT *, lag(v) OVER (PARTITION BY k ORDER BY d ASC NULLS LAST, n ASC NULLS LAST) p
+                        FROM collapse_nulls) WHERE v IS DISTINCT FROM p""")
+    for chunk in (None, 1, 4):
+        got = vault.collapse_repeats(df, "k", "v", ["d", "n"], chunk=chunk)
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)

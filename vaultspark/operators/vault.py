@@ -130,9 +130,13 @@ def collapse_repeats(df: DataFrame, key: str, value: str, order_by: list[str],
     last = (x.groupBy("_k", *bnames)
             .agg(F.max(F.struct(*ranked, F.col(value))).alias("_last")))
     w_b = W.partitionBy("_k").orderBy(*[F.col(b).asc_nulls_last() for b in bnames])
-    edges = last.select("_k", *bnames, F.lag(F.col(f"_last.{value}")).over(w_b).alias("_edge"))
+    edges = last.select(F.col("_k").alias("_ek"), *[F.col(b).alias(f"_e{b}") for b in bnames],
+                        F.lag(F.col(f"_last.{value}")).over(w_b).alias("_edge"))
 
-    x = x.join(edges, ["_k", *bnames], "left")
+    on = F.col("_k") == F.col("_ek")
+    for b in bnames:  # the bucket of NULL order values has its edge, too
+        on = on & F.col(b).eqNullSafe(F.col(f"_e{b}"))
+    x = x.join(edges, on, "left").drop("_ek", *[f"_e{b}" for b in bnames])
     prev = F.when(F.col("_first"), F.col("_edge")).otherwise(F.col("_prev"))
     return x.where(~F.col(value).eqNullSafe(prev)).drop("_k", "_prev", "_first", "_edge", *bnames)
 

@@ -94,11 +94,12 @@ def load_ods_backfill(wh: Warehouse, raw: dict[str, DataFrame], years,
                       parallel: bool = True) -> None:
     """ODS for a whole backfill in one pass per feed.
 
-    Equal to one yearly truncate-and-insert per year: the partitions of the
-    range are dropped first (so a year without rows ends up empty, as with the
-    static reload), then each feed is typed once, restricted to the range (a
-    pushable filter on the raw column) and routed to its year partitions with a
-    dynamic overwrite.  The raw feeds are scanned once instead of once per year.
+    Equal to one yearly truncate-and-insert per year: each feed is typed once,
+    restricted to the range (a pushable filter on the raw column) and routed to
+    its year partitions with a dynamic overwrite; then the partitions of listed
+    years without rows are dropped, as the static reload empties them.  A failure
+    in between leaves every year with its old or its new rows.  The raw feeds are
+    read once (and their date column once more) instead of once per year.
     """
     years = sorted(set(years))
     labels = [str(y) for y in years]
@@ -106,10 +107,11 @@ def load_ods_backfill(wh: Warehouse, raw: dict[str, DataFrame], years,
     def one(src):
         name = f"ods_{src}"
         wh.create_if_missing(name, _with_part(schemas.ODS[src]), partition_by=PARTITION_COLUMN)
-        wh.drop_partitions(name, labels)
         typed = ods.ODS_LOADERS[src](raw[src].where(_raw_years(src, years)), None)
         label = F.year(F.col(schemas.ODS_DATE_COLUMN[src])).cast("string")
         wh.overwrite_partitions(name, typed.withColumn(PARTITION_COLUMN, label))
+        filled = {r[0] for r in typed.select(label).distinct().collect()}  # at most the listed years
+        wh.drop_partitions(name, [y for y in labels if y not in filled])
     tasks = [lambda s=src: one(s) for src in ODS_SOURCES]
     tasks.append(lambda: wh.write_once("ods_user", ods.ods_user(raw["user"])))
     in_parallel(tasks, parallel)
@@ -174,10 +176,7 @@ def _latest_schema(pk: str, hd: str) -> T.StructType:
 
 def _versions(wh: Warehouse, name: str, schema: T.StructType) -> list[int]:
     """Versions of a latest-state table (one per loaded year: a handful of rows)."""
-    if not wh.exists(name):
-        return []
-    rows = wh.read(name, schema).select(VERSION).distinct().collect()
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return sorted(map(int, wh.partitions(name, VERSION)))
 
 
 def _loaded_after(sat: DataFrame, when: dt.datetime) -> bool:

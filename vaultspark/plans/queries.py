@@ -74,12 +74,12 @@ def link(spark, sf, year: int, target: DataFrame | None = None) -> DataFrame:
     return vault.link_payment_rows(staged(spark, sf, "payment", year), target)
 
 
-_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 
 def loaded_vault(spark: SparkSession, sf: str) -> Warehouse:
     """The warehouse after the yearly pipeline over all years (built once)."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     wh = _WAREHOUSES.get(key)
     if wh is None:
         wh = Warehouse.for_vault(spark, shared_root(spark, "vault"))

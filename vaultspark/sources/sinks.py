@@ -3,13 +3,14 @@
 Tables are Parquet directories under one warehouse root (a shared, durable
 folder on a cluster -- by default a sub-folder of ``spark.checkpoint.dir``).
 Writes go through Spark's file commit protocol, so a lost executor only
-re-runs its tasks and a failed job leaves no visible partial output.
+re-runs its tasks.  A table counts as present only once its folder holds the
+marker that this protocol writes last; the remains of a killed first write are
+overwritten by the next one.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from dataclasses import dataclass, field
 
@@ -26,6 +27,8 @@ EARLY_START_YEAR = 2000
 FIRST_YEAR = 2013
 LAST_YEAR = 2030
 PARTITION_COLUMN = "part"
+#: Written last by the commit protocol (fixed name).
+COMMITTED = "_SUCCESS"
 
 
 def partition_label(c: Column | str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR,
@@ -43,11 +46,14 @@ def partition_label(c: Column | str, first_year: int = FIRST_YEAR, last_year: in
 def shared_root(spark: SparkSession, name: str = "vaultspark") -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session; only when it is unset (local tests)
-    a temporary local folder is configured.
+    The setting is read from the session; only when it is unset and the master is
+    local (tests) a temporary local folder is configured, on a cluster it raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="vaultspark-ckpt-")
@@ -67,8 +73,9 @@ class Warehouse:
     buckets at the same path.  A join or aggregate on ``key`` then reads it
     without a shuffle -- the growing hubs and links are the target side of every
     yearly anti join, so bucketing them keeps that history out of the shuffle;
-    only the (small) new keys move.  A new session re-attaches an existing
-    table directory to the catalog.
+    only the (small) new keys move.  ``n`` holds for a new table only: it is
+    written beside the table before its first row, and every later session
+    re-attaches and appends with the stored number, whatever its own settings.
     """
 
     spark: SparkSession
@@ -96,30 +103,70 @@ class Warehouse:
         tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
         return f"vs_{tag}_{name}"
 
+    def _hadoop(self, path: str):
+        """(file system, path) of any store Spark reaches; errors are not hidden."""
+        jvm = self.spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        return hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hp
+
+    def _bucket_file(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/_buckets/{name}"
+
+    def bucket_count(self, name: str) -> int:
+        """The number of buckets stored with the table; that of a new table is
+        stored first.  A table without a stored number, or a catalog entry
+        with another one, raises."""
+        fs, hp = self._hadoop(self._bucket_file(name))
+        if fs.exists(hp):
+            stream = fs.open(hp)
+            try:
+                n = int(stream.readUTF())
+            finally:
+                stream.close()
+        elif self.exists(name):
+            raise ValueError(f"the number of buckets of {self.path(name)} is not stored")
+        else:
+            n = self.buckets[name][1]
+            stream = fs.create(hp, True)
+            try:
+                stream.writeUTF(str(n))
+            finally:
+                stream.close()
+        if self.spark.catalog.tableExists(self.table_name(name)):
+            info = self.spark.sql(f"DESCRIBE EXTENDED {self.table_name(name)}").where("col_name = 'Num Buckets'").collect()
+            if [r["data_type"] for r in info] != [str(n)]:
+                raise ValueError(f"the catalog has another number of buckets than {n} for {self.path(name)}")
+        return n
+
     def _register(self, name: str, schema: T.StructType) -> None:
-        key, n = self.buckets[name]
+        key, n = self.buckets[name][0], self.bucket_count(name)
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table_name(name)} ({cols}) USING parquet "
                        f"CLUSTERED BY (`{key}`) INTO {n} BUCKETS LOCATION '{self.path(name)}'")
 
     def _bucketed_write(self, name: str, df: DataFrame, mode: str) -> None:
-        key, n = self.buckets[name]
+        key, n = self.buckets[name][0], self.bucket_count(name)
+        if mode == "append" and self.exists(name) and not self.spark.catalog.tableExists(self.table_name(name)):
+            # saveAsTable would take it for a new table and write over it
+            self._register(name, self.spark.read.parquet(self.path(name)).schema)
         # one file per bucket and write task: rows are hash-partitioned by the
         # bucket key the way bucketing assigns them
         (df.repartition(n, key).write.bucketBy(n, key).format("parquet")
          .option("path", self.path(name)).mode(mode).saveAsTable(self.table_name(name)))
 
     def exists(self, name: str) -> bool:
-        p = self.path(name)
-        if "://" not in p or p.startswith("file:"):
-            return os.path.isdir(p.replace("file:", "", 1))
-        try:  # remote file systems: ask Hadoop
-            jvm = self.spark.sparkContext._jvm
-            hp = jvm.org.apache.hadoop.fs.Path(p)
-            fs = hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            return fs.exists(hp)
-        except Exception:  # pragma: no cover
-            return False
+        """Is the table there and its first write committed?"""
+        fs, hp = self._hadoop(f"{self.path(name)}/{COMMITTED}")
+        return fs.exists(hp)
+
+    def partitions(self, name: str, column: str) -> list[str]:
+        """Labels of the committed partition folders written by ``overwrite_partition``."""
+        fs, hp = self._hadoop(self.path(name))
+        if not fs.exists(hp):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(hp) if f.isDirectory()]
+        labels = [x.partition("=")[2] for x in names if x.startswith(f"{column}=")]
+        return [x for x in labels if fs.exists(self._hadoop(f"{self.path(name)}/{column}={x}/{COMMITTED}")[1])]
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         if name in self.buckets:
@@ -135,17 +182,15 @@ class Warehouse:
     def create_if_missing(self, name: str, schema: T.StructType,
                           partition_by: str | None = None) -> bool:
         if name in self.buckets:
-            if self.spark.catalog.tableExists(self.table_name(name)):
-                return False
             if self.exists(name):
                 self._register(name, schema)
                 return False
-            self._bucketed_write(name, self.spark.createDataFrame([], schema), "ignore")
+            self._bucketed_write(name, self.spark.createDataFrame([], schema), "overwrite")
             return True
         if self.exists(name):
             return False
         empty = self.spark.createDataFrame([], schema)
-        w = empty.write.mode("ignore")
+        w = empty.write.mode("overwrite")  # only remains of a killed write can be there
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(self.path(name))
@@ -159,11 +204,9 @@ class Warehouse:
 
     def drop_partitions(self, name: str, labels: list[str], column: str = PARTITION_COLUMN) -> None:
         """Remove partition directories (a file-system operation, no job)."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for label in labels:
-            hp = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{column}={label}")
-            hp.getFileSystem(conf).delete(hp, True)
+            fs, hp = self._hadoop(f"{self.path(name)}/{column}={label}")
+            fs.delete(hp, True)
 
     def overwrite_partitions(self, name: str, df: DataFrame, column: str = PARTITION_COLUMN) -> None:
         """Dynamic overwrite: replace exactly the partitions present in ``df``."""
@@ -190,6 +233,6 @@ class Warehouse:
     def write_once(self, name: str, df: DataFrame) -> bool:
         if self.exists(name):
             return False
-        df.write.mode("ignore").parquet(self.path(name))
+        df.write.mode("overwrite").parquet(self.path(name))  # only remains of a killed write can be there
         return True
 
