@@ -179,6 +179,18 @@ def test_decontamination_cases(spark, text, kind):
     assert decontaminate.remove_contaminated(spark, docs, items).count() == (kind is None)
 
 
+@pytest.mark.parametrize("copy", [
+    ITEM.lower(), ITEM.upper(), ITEM.replace(" Alice", "\nAlice"), ITEM.replace(" ", "  "), ITEM.replace(" ", "\r\n\t"),
+    ITEM.replace(" ", "\u00a0"),
+])
+def test_decontamination_of_copies_in_other_case_and_spacing(spark, copy):
+    docs = spark.createDataFrame([(1, f"{FILL}. {copy}. {FILL}"), (2, FILL)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    got = decontaminate.contaminated(spark, docs, items).collect()
+    assert [(r.doc_id, r.item_id, r.kind) for r in got] == [(1, 7, "verbatim")] and got[0].similarity == 1
+    assert [r.doc_id for r in decontaminate.remove_contaminated(spark, docs, items).collect()] == [2]
+
+
 def test_decontamination_finds_every_whole_item(spark):
     docs, items = table(spark, MIDDLE, "documents"), table(spark, MIDDLE, "benchmark")
     known = [(i.item_id, i.text.strip()) for i in items.collect() if i.text and len(i.text.split()) >= 8]

@@ -3,9 +3,11 @@
 Native DataFrame expressions only.  Texts become sequences of words and numbers;
 numbers, names (capitalised words that do not start a sentence) and units after a
 number turn into the typed placeholders <num>, <name> and <unit>, all other
-words are lower-cased.  Windows of five of these tokens are hash-joined between
-documents and benchmark items.  A document holds an item when at least ``similarity``
-(0.8) of the item's distinct windows occur in it and the slots agree: along the
+words are case-folded.  White space is collapsed first, so line breaks and repeated spaces do
+not change a token.  Windows of five of these tokens, and of the case-folded words and numbers
+themselves, are hash-joined between documents and benchmark items.  A document holds an item when
+at least ``similarity`` (0.8) of the item's distinct literal windows occur in it, whatever their case,
+or as many of its template windows and the slots agree: along the
 best alignment, what the document has in place of one filler of the item must be
 one and the same filler everywhere (0.8 of the slots at least).  A question whose
 numbers and names were exchanged is caught; a text that only shares the shape of
@@ -14,7 +16,8 @@ its sentences with conflicting fillers is not.
 Windows with fewer than two literal words say little and are left out of an item
 that has others; an item without others is matched only with identical fillers.
 
-Scale: a text's windows are built inside its row and exploded into (id, hash); the
+Scale: a text's windows are built inside its row and exploded into (id, hash), a window
+without fillers once for both kinds; the
 item windows are broadcast only when their counted rows are at most
 ``broadcast_rows``, else both sides are shuffled by the window hash.  The matches are
 reduced per (document, item, window) map-side; texts are read again only for the
@@ -41,6 +44,8 @@ UNITS = (
     "tons?|lbs?|pounds?|oz|ounces?|ml|l|liters?|litres?|gallons?|seconds?|secs?|s|minutes?|mins?|hours?|hrs?|h|days?|weeks?|"
     "months?|years?|percent|dollars?|cents?|euros?|usd|eur|mph|kmh|hz|khz|mhz|ghz|watts?|kw|volts?|degrees?|kb|mb|gb|tb"
 )
+#: White space of any kind other than a single blank.
+BLANKS = r"[\s\u0085\p{Z}&&[^ ]][\s\u0085\p{Z}]*| [\s\u0085\p{Z}]+"
 NAME_PLACE = r"(?<=[\p{Ll}\p{N}],{0,1} )(?=\p{Lu}\p{Ll})"
 UNIT_PLACE = rf"(?<=\d {{0,1}})(?=(?:{UNITS})\b)"
 TOKEN = rf"[{NAME_MARK}{UNIT_MARK}]?[\p{{L}}\p{{M}}]+|[$€£]?\d+(?:[.,:]\d+)*%?"
@@ -48,7 +53,7 @@ TOKEN = rf"[{NAME_MARK}{UNIT_MARK}]?[\p{{L}}\p{{M}}]+|[$€£]?\d+(?:[.,:]\d+)*%
 
 def raw_tokens(text: Column) -> Column:
     """Words and numbers in order, names and units with their mark."""
-    clean = F.translate(F.coalesce(text, F.lit("")), NAME_MARK + UNIT_MARK, "")
+    clean = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), NAME_MARK + UNIT_MARK, ""), BLANKS, " ")
     marked = F.regexp_replace(F.regexp_replace(clean, UNIT_PLACE, UNIT_MARK), NAME_PLACE, NAME_MARK)
     return F.regexp_extract_all(marked, F.lit(TOKEN), F.lit(0))
 
@@ -60,10 +65,20 @@ def placeholder(token: Column) -> Column:
             .when(c.between(48, 57) | c.isin(36, 163, 8364) | token.rlike(r"^\p{N}"), F.lit("<num>")))
 
 
+def folded(token: Column) -> Column:
+    """The token without regard to case."""
+    return F.lower(F.upper(token))
+
+
+def literal(tokens: Column) -> Column:
+    """Words and numbers as they stand, without their marks and case."""
+    return F.transform(tokens, lambda x: folded(F.translate(x, NAME_MARK + UNIT_MARK, "")))
+
+
 def canonical(tokens: Column) -> Column:
     def one(x: Column) -> Column:
         c = F.ascii(x)
-        return (F.when(c > 64, F.when(c.isin(163, 8364), F.lit("<num>")).otherwise(F.lower(x)))
+        return (F.when(c > 64, F.when(c.isin(163, 8364), F.lit("<num>")).otherwise(folded(x)))
                 .when(c == 2, F.lit("<name>")).when(c == 3, F.lit("<unit>")).otherwise(F.lit("<num>")))
 
     return F.transform(tokens, one)
@@ -102,11 +117,17 @@ def item_windows(items: DataFrame, item_col: str, text_col: str, size: int = WIN
     return rows.withColumn("plain", some).filter("enough or not plain").drop("enough")
 
 
+def literal_windows(items: DataFrame, item_col: str, text_col: str, size: int = WINDOW) -> DataFrame:
+    """(item_id, hash): the distinct literal windows of every item."""
+    tokens = raw_tokens(F.col(f"`{text_col}`").cast("string"))
+    return items.select(F.col(f"`{item_col}`").alias("item_id"), F.explode(window_hashes(literal(tokens), size)).alias("hash")).distinct()
+
+
 def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", size: int = WINDOW,
                  similarity: float = SIMILARITY, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One row per (doc_id, item_id) held: windows of the item, those matched, similarity,
-    slots along the best alignment, those in agreement, those whose filler changed, and
+    """One row per (doc_id, item_id) held: windows of the item, those matched, similarity (of
+    the template windows or the literal ones, whichever more of were found), slots along the best alignment, those in agreement, those whose filler changed, and
     ``kind`` ('verbatim' or 'reparameterised').
 
     Null or empty texts and items hold nothing.  A sequence of fewer than ``size`` tokens is one
@@ -114,16 +135,23 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col:
     repeated under one id count as one text set; null ids are grouped as one id.  An empty
     table on either side gives an empty result; other columns are not read."""
     wanted = stored(spark, item_windows(items, item_col, item_text, size), "item-windows")
-    sizes = wanted.groupBy("item_id").agg(F.countDistinct("hash").alias("windows"))
-    probe = wanted.select("item_id", "hash").distinct()
+    both = wanted.select("item_id", "hash", F.lit(1).alias("shape"), F.lit(0).alias("word")).union(
+        literal_windows(items, item_col, item_text, size).select("item_id", "hash", F.lit(0), F.lit(1)))
+    probe = stored(spark, both.groupBy("item_id", "hash").agg(F.max("shape").alias("shape"), F.max("word").alias("word")), "probe")
+    sizes = probe.groupBy("item_id").agg(F.sum("shape").alias("windows"), F.sum("word").alias("words"))
     few = probe.count() <= broadcast_rows
     small = (lambda df: F.broadcast(df)) if few else (lambda df: df)  # counted above
     text = F.col(f"`{text_col}`").cast("string")
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-    seen = src.select("doc_id", F.explode(F.array_distinct(window_hashes(canonical(raw_tokens(F.col("text"))), size))).alias("hash"))
-    met = seen.join(small(probe), "hash").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("matched"))
-    found = met.join(small(sizes), "item_id").filter(F.col("matched") >= F.lit(similarity) * F.col("windows"))
-    found = stored(spark, found.select("doc_id", "item_id", "windows", "matched"), "candidates")
+    hashes = let(raw_tokens(F.col("text")), lambda raw: F.array_distinct(
+        F.concat(window_hashes(canonical(raw), size), window_hashes(literal(raw), size))))
+    seen = src.select("doc_id", F.explode(hashes).alias("hash"))
+    met = seen.join(small(probe), "hash").distinct().groupBy("doc_id", "item_id").agg(
+        F.sum("shape").alias("matched"), F.sum("word").alias("said"))
+    found = met.join(small(sizes), "item_id")
+    found = found.withColumn("literal", F.col("said") >= F.lit(similarity) * F.col("words"))
+    found = found.filter(F.col("literal") | (F.col("matched") >= F.lit(similarity) * F.col("windows")))
+    found = stored(spark, found.select("doc_id", "item_id", "windows", "matched", "words", "said", "literal"), "candidates")
 
     # slots: align the candidates' windows with the item's and compare the fillers
     ids = found.select(F.col("doc_id").alias("_cid")).distinct()
@@ -153,7 +181,10 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col:
     out = found.join(tally, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("item_id").eqNullSafe(F.col("_i")), "left")
     out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("slots", "agreeing", "changed")})
     agree = (F.col("agreeing") >= F.lit(similarity) * F.col("slots")) & (F.coalesce("plain", F.lit(True)) | (F.col("changed") == 0))
-    return out.filter(agree).select(
+    more = F.col("said") * F.col("windows") > F.col("matched") * F.col("words")  # the kind of window of which more were found
+    out = out.filter(F.col("literal") | agree).withColumns(
+        {"windows": F.when(more, F.col("words")).otherwise(F.col("windows")), "matched": F.when(more, F.col("said")).otherwise(F.col("matched"))})
+    return out.select(
         "doc_id", "item_id", "windows", "matched", (F.col("matched") / F.col("windows")).alias("similarity"),
         "slots", "agreeing", "changed", F.when(F.col("changed") == 0, "verbatim").otherwise("reparameterised").alias("kind"))
 
