@@ -7,12 +7,14 @@ import random
 import re
 import struct
 
+import numpy as np
 import pytest
 import regex
 import xxhash
 from pyspark.sql import functions as F
 
 from vaultspark.llm import decontaminate, ngram_trie, quality_mil, quality_rules, simhash
+from vaultspark.llm.bytewords import Hasher
 from vaultspark.llm.common import crc_mod, table
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -160,6 +162,22 @@ def test_classifier_on_held_out_rows(spark):
     assert quality_mil.score(docs, model).count() == docs.count()
 
 
+@pytest.mark.parametrize("text", [
+    "\n".join("\u4e2d" * 500 for _ in range(48)), "x" * 300_000, "\n".join("7Aa!" * 700 for _ in range(48)),
+    "short before " * 48 + "y" * 70_000 + " 12 after\n" * 60,
+])
+def test_byte_classes_of_long_passages_equal_a_plain_count(text):
+    raw = text.encode()
+    w = Hasher().words([raw])
+    _, feats, _, of = quality_mil.passages(Hasher(), np.zeros(1, np.int64), [raw])
+    begin = [0, *(int(w.start[k]) for k in range(quality_mil.PASSAGE, len(w.start), quality_mil.PASSAGE)), len(w.raw)]
+    assert len(feats) == len(begin) - 1
+    for f, lo, hi, n in zip(feats, begin, begin[1:], collections.Counter(of.tolist()).values()):
+        part = bytes(w.raw[lo:hi])
+        count = [sum(part.count(b) for b in members) for members in quality_mil.CLASSES]
+        assert f[:8] == pytest.approx([*(c / len(part) for c in count[:-1]), count[-1] / n], rel=1e-5)
+
+
 # -- decontamination ---------------------------------------------------------
 
 ITEM = "If a train travels 60 miles in 3 hours and then Alice walks another 12 miles home how far did she go in all today"

@@ -30,7 +30,7 @@ PER_CLASS = 2000
 FIT_PASSAGES = 24
 BUCKETS = 1 << 15
 THRESHOLD = 0.7
-#: Byte classes counted per passage: a lane of 16 bits each in two 64-bit words.
+#: Byte classes counted per passage: a lane of 16 bits each in two 64-bit words; passages too long for a lane are counted apart.
 CLASSES = (
     bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58)), b"#*$%&|<>",
     b"!", b"\"'(),-./:;?@[\\]^_`{}~+=", bytes(range(128, 256)), b"\n",
@@ -46,6 +46,10 @@ def _lanes() -> np.ndarray:
 
 
 LANES = _lanes()
+#: Bytes from which a passage may fill a lane.
+LANE = 1 << 16
+#: The classes as rows over the byte values.
+MEMBERS = np.array([np.isin(np.arange(256), list(m)) for m in CLASSES], dtype=np.int64)
 
 
 def passages(hasher: Hasher, rows: np.ndarray, parts: list[bytes], width: int = PASSAGE):
@@ -66,11 +70,15 @@ def passages(hasher: Hasher, rows: np.ndarray, parts: list[bytes], width: int =
     begin[of[head]] = np.where(place[head] == 0, w.first[w.row[head]], w.start[head])
     classes = []
     for lane in LANES:
-        # passages stay far below 2^16 bytes of one class unless a word is longer; such lanes saturate by wrapping
         sums = np.add.reduceat(lane[w.raw], begin)
         classes += [((sums >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.float64) for k in range(4)]
     words = np.bincount(of, minlength=total).astype(np.float64)
     chars = np.diff(np.concatenate((begin, [len(w.raw)]))).astype(np.float64)
+    for k in np.flatnonzero(chars >= LANE):
+        at = int(begin[k])
+        whole = MEMBERS @ np.bincount(w.raw[at: at + int(chars[k])], minlength=256)
+        for c, n_bytes in enumerate(whole):
+            classes[c][k] = n_bytes
     some = np.maximum(words, 1)
     twin = np.zeros(total)  # words equal to the word before
     if n > 1:
