@@ -68,6 +68,16 @@ def test_decontaminate_awkward_rows(spark):
     assert decontaminate.contaminated(spark, awkward(spark, []), items).collect() == []
 
 
+def test_decontamination_judges_each_text_by_itself(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    half = item.split()
+    rows = [(None, f"before {item} after"), (None, "a clean text without any id"), (None, None), (3, item), (3, "another text under the same id"),
+            (None, " ".join(half[:9])), (None, " ".join(half[4:]))]  # the halves hold the item only together
+    items = spark.createDataFrame([(1, item, "x")], "item_id long, text string, hash string")
+    kept = decontaminate.remove_contaminated(spark, awkward(spark, rows), items).collect()
+    assert sorted(str(r.text) for r in kept) == sorted(str(t) for _, t in rows if t is None or item not in t)
+
+
 def test_pages_and_transcripts_that_are_empty(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string, text string")
     assert warc.archive(spark, none).collect() == [] and html_blocks.extract(spark, none).collect() == []

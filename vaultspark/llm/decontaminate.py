@@ -155,7 +155,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col:
 
     # slots: align the candidates' windows with the item's and compare the fillers
     ids = found.select(F.col("doc_id").alias("_cid")).distinct()
-    again = src.join(ids, F.col("doc_id").eqNullSafe(F.col("_cid")), "left_semi").withColumn("raw", raw_tokens(F.col("text")))
+    again = src.join(ids, F.col("doc_id").eqNullSafe(F.col("_cid")), "left_semi")
+    again = again.distinct().withColumn("raw", raw_tokens(F.col("text")))  # copies under one id say the same
     again = again.select("doc_id", "raw", F.posexplode(window_hashes(canonical(F.col("raw")), size)).alias("p", "hash"))
     again = again.select("doc_id", "p", "hash", F.slice("raw", F.col("p") + 1, F.lit(size)).alias("got"))
     pairs = again.join(small(wanted), "hash").join(
@@ -189,8 +190,12 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col:
         "slots", "agreeing", "changed", F.when(F.col("changed") == 0, "verbatim").otherwise("reparameterised").alias("kind"))
 
 
-def remove_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``docs`` without the rows whose id holds an item; rows without an id stay unless
-    a row without an id holds one (null ids count as one id)."""
-    bad = stored(spark, contaminated(spark, docs, items, id_col=id_col, **kw).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("_bad")), "left_anti")
+def remove_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``docs`` without the rows whose own text holds an item.  Every text is judged by itself, under
+    its hash, so rows that share an id, or have none, do not decide about each other; ``id_col``
+    is not read."""
+    text = F.col(f"`{text_col}`").cast("string")
+    key = F.sha2(text, 256)
+    judged = contaminated(spark, docs.select(key.alias("_key"), text.alias("text")), items, id_col="_key", **kw)
+    bad = stored(spark, judged.select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
+    return docs.join(bad, key == F.col("_bad"), "left_anti")
