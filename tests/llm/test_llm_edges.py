@@ -59,6 +59,15 @@ def test_deduplicate_awkward_rows(spark):
     assert simhash.deduplicate(spark, awkward(spark, [])).collect() == []
 
 
+def test_deduplicate_tells_texts_under_one_id_apart(spark):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    kept = simhash.deduplicate(spark, awkward(spark, [(1, one), (1, two), (2, one), (3, two), (1, one)])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, one), (1, two)]
+    three = " ".join(f"c{i}" for i in range(60))  # id 5 stands for the group of three only
+    kept = simhash.deduplicate(spark, awkward(spark, [(4, one), (5, one), (5, three), (6, three)])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(4, one), (5, three)]
+
+
 def test_decontaminate_awkward_rows(spark):
     docs = awkward(spark, ROWS)
     items = spark.createDataFrame([(1, "one two three four five six", "x"), (2, None, "x"), (None, "", "x")], "item_id long, text string, hash string")

@@ -290,26 +290,20 @@ def hex_fingerprint(c: str = "fp"):
 def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one document of each group: the one whose id is the group's
-    smallest.  Rows repeated under that id leave one (the smallest by its columns in
-    order); of a group without any id, the smallest row of one text stays."""
-    found = near_duplicates(spark, docs, id_col, text_col, words, max_bits)
-    first = stored(spark, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    smallest, rows without an id last.  Of several texts under that id the one with the smallest
+    hash stays; repeated rows of that id and text leave one (the smallest by its columns in order)."""
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    sha = F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+    # a document is an id with a text: the same id may stand for texts of different groups
+    named = docs.select(F.struct(key.isNull().alias("nameless"), key.alias("id"), sha.alias("sha")).alias("_doc"), text.alias("_text"))
+    found = near_duplicates(spark, named, "_doc", "_text", words, max_bits)
+    first = stored(spark, found.filter(F.col("doc_id") == F.col("component_id"))
                    .groupBy("doc_id").agg(F.count("*").alias("copies")), "first")
-    key, whole = F.col(f"`{id_col}`"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
 
     def rows(copies: str) -> DataFrame:
-        ids = first.filter(copies).filter("doc_id is not null").select(F.col("doc_id").alias("_rep_id"))
-        return docs.join(ids, key == F.col("_rep_id"), "left_semi")
-
-    kept = rows("copies = 1").union(
-        rows("copies > 1").groupBy(key.alias("_rep_id")).agg(F.min(whole).alias("_row")).select("_row.*"))
-    if not first.filter("doc_id is null").head(1):
-        return kept
-    text = F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), 256)
-    nameless = docs.filter(key.isNull())
-    of = fingerprints(nameless.select(text.alias("sha"), F.col(f"`{text_col}`").alias("words")).distinct(), "sha", "words", words)
-    lone = found.filter("doc_id is null and component_id is null").select("fp", "root").distinct()
-    shas = of.withColumnRenamed("doc_id", "sha").join(lone, "fp").groupBy("root").agg(F.min("sha").alias("_sha"))
-    some = (nameless.join(shas, text == F.col("_sha"), "left_semi")
-            .groupBy(text.alias("_sha")).agg(F.min(whole).alias("_row")).select("_row.*"))
-    return kept.union(some)
+        ids = first.filter(copies).select(F.col("doc_id.id").alias("_rep_id"), F.col("doc_id.sha").alias("_rep_sha"))
+        return docs.join(ids, key.eqNullSafe(F.col("_rep_id")) & (sha == F.col("_rep_sha")), "left_semi")
+
+    return rows("copies = 1").union(
+        rows("copies > 1").groupBy(key.alias("_rep_id"), sha.alias("_rep_sha")).agg(F.min(whole).alias("_row")).select("_row.*"))
