@@ -144,6 +144,26 @@ def test_main_text_of_plain_pages(spark):
     assert got[100].text == got[101].text == "" and got[101].n_chars == 0
 
 
+@pytest.mark.parametrize("page", [
+    PAGE.replace("</article>", "".join(f"<p>Paragraph {k} of a very long article, whose page is larger than most others are.</p>" for k in range(600)) + "</article>"),
+    "<html><body><ul><li><a href='/a'>About us</a></li><li><a href='/b'>Our shops</a></li></ul><table><tr><td>"
+    + "First & long paragraph of the article number {n}, with enough words é to be prose.</td></tr></table></body></html>",
+])
+def test_labeller_learns_from_long_pages_and_from_pages_without_labels(spark, page):
+    made = [(n, f"http://h/{n}", page.replace("{n}", str(n))) for n in range(12)]
+    df = spark.createDataFrame(made, "page_id long, url string, html string")
+    pages = html_blocks.sample(spark, df)
+    assert sorted(pages) == sorted(h for _, _, h in made)
+    assert html_blocks.train(pages, epochs=1, made=40) is not None
+    short = html_blocks.sample(spark, df, most=2 * len(made[0][2]) + 10, longest=1 << 20)
+    assert len(short) == 2 and set(short) <= set(pages)
+    if "<article" in page:
+        got = html_blocks.extract(spark, df).collect()
+        assert len(got) == 12
+        for r in got:
+            assert "Paragraph 599 of a very long article" in r.text and not any(w in r.text for w in ("About us", "Related story", "Copyright"))
+
+
 # -- transcripts -------------------------------------------------------------
 
 def test_transcripts_do_not_depend_on_the_chunk(spark):

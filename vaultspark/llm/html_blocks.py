@@ -7,7 +7,7 @@ LSTM, written in numpy, reads a page's blocks in order and labels each
 with the context of the whole page; blocks labelled main are joined.
 
 The labeller is trained on the driver from a bounded sample of the given pages
-(``SAMPLE_PAGES`` of at most ``SAMPLE_BYTES`` each, parameters).  Their own semantic elements
+(at most ``SAMPLE_PAGES`` of any size, fewer when they are long, parameters).  Their own semantic elements
 give labels (inside article or main, outside navigation, asides, footers and forms), and
 their blocks are also laid out anew in other page frames, whose regions are known, so
 that the labeller learns class names and positions besides one site's tags.  Extraction reads
@@ -31,7 +31,11 @@ from vaultspark.llm.bytewords import Hasher
 from vaultspark.llm.common import small_batches, texts
 
 SAMPLE_PAGES = 200
-SAMPLE_BYTES = 32 << 10
+#: Bytes of the sample, and those of a page from which its head and tail stand for it.
+SAMPLE_BYTES = 12 << 20
+PAGE_BYTES = 512 << 10
+#: Blocks of a training sequence, and sequences taken from a page longer than that.
+RUN, RUNS = 512, 4
 HIDDEN = 16
 #: Elements that do not end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
@@ -343,24 +347,34 @@ def layouts(rng: np.random.Generator, prose: list[str], short: list[str], count:
             yield blocks, np.array(labels, dtype=np.float32)
 
 
+def runs(n: int) -> list[slice]:
+    """All of a page of ``n`` blocks, or sequences spread evenly over a long one."""
+    if n <= RUN:
+        return [slice(0, n)]
+    return [slice(a, a + RUN) for a in np.unique(np.linspace(0, n - RUN, min(RUNS, -(-n // RUN))).astype(np.int64)).tolist()]
+
+
 def train(pages: list[str], epochs: int = 12, made: int = 600, rate: float = 0.01, seed: int = 11) -> Labeller | None:
-    """A labeller from sample pages; None if no block of them can be labelled."""
+    """A labeller from sample pages and from layouts made of their texts, from the layouts alone if the
+    pages label no block; None without pages."""
+    if not pages:
+        return None
     rng = np.random.Generator(np.random.PCG64(seed))
-    cases: list[tuple[list[Block], np.ndarray, np.ndarray]] = []
+    hasher, model = Hasher(), Labeller.new(rng)
+    cases: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     prose, short = [], []
     for blocks in map(parse, pages):
         found = [silver(b) for b in blocks]
         known = np.array([f is not None for f in found], dtype=np.float32)
         if known.any():
-            cases.append((blocks, np.array([f or 0 for f in found], dtype=np.float32), known))
+            x, y = vectors(hasher, [blocks]), np.array([f or 0 for f in found], dtype=np.float32)
+            cases += [(x[r].copy(), y[r], known[r]) for r in runs(len(blocks)) if known[r].any()]
         for b, f in zip(blocks, found):
             (prose if len(b.text) > 40 else short).append(b.text)
-    if not cases:
-        return None
-    prose, short = prose or short, short or prose
-    cases += [(b, y, np.ones(len(y), dtype=np.float32)) for b, y in layouts(rng, prose, short, made)]
-    hasher, model = Hasher(), Labeller.new(rng)
-    xs = [vectors(hasher, [b]) for b, _, _ in cases]
+    words = [w for r in REGIONS.values() for w in r.split()]  # pages without any text
+    prose, short = prose or short or words, short or prose or words
+    cases += [(vectors(hasher, [b]), y, np.ones(len(y), dtype=np.float32)) for b, y in layouts(rng, prose, short, made)]
+    xs = [x for x, _, _ in cases]
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
     s = {k: np.zeros_like(v) for k, v in model.p.items()}
     step = 0
@@ -409,19 +423,27 @@ def label_pages(model: Labeller | None, hasher: Hasher, pages: list[list[Block]]
 
 
 def sample(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", html_col: str = "html", limit: int = SAMPLE_PAGES,
-           most: int = SAMPLE_BYTES) -> list[str]:
-    """The bounded sample that the labeller learns from, chosen by a hash of id and text."""
+           most: int = SAMPLE_BYTES, longest: int = PAGE_BYTES) -> list[str]:
+    """The bounded sample that the labeller learns from: rows of any size in order of a hash of id and
+    text, until ``limit`` pages or ``most`` characters are reached.  A page beyond ``longest`` characters gives
+    its head and its tail."""
     body = F.col(f"`{html_col}`").cast("string")
-    some = pages.filter(F.octet_length(body).between(1, most)).select(body.alias("html"), F.xxhash64(F.col(f"`{id_col}`"), body).alias("h"))
-    return [r["html"] for r in some.orderBy("h", "html").limit(limit).collect()]
+    src = pages.filter(F.octet_length(body) > 0).select(body.alias("html"), F.xxhash64(F.col(f"`{id_col}`"), body).alias("h"))
+    first = src.select("h", F.least(F.length("html"), F.lit(longest)).alias("n")).distinct().orderBy("h", "n").limit(limit).collect()
+    if not first:
+        return []
+    fit = max(1, int(np.searchsorted(np.cumsum([r["n"] for r in first]), most, side="right")))
+    half = longest // 2
+    cut = F.when(F.length("html") > longest, F.concat(F.substring("html", 1, half), F.substring("html", -half, half))).otherwise(F.col("html"))
+    some = src.filter(F.col("h") <= first[fit - 1]["h"]).select("h", cut.alias("html")).distinct().collect()
+    return [r["html"] for r in sorted(some, key=lambda r: (r["h"], r["html"]))]
 
 
 def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             model: Labeller | None = None) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every whole page, one row per input row.
 
-    A null or empty page and a page without main blocks give an empty text.  Without any page
-    to learn from all blocks are kept.  Repeated rows and null ids are pages of their own; an empty
+    A null or empty page and a page without main blocks give an empty text.  Repeated rows and null ids are pages of their own; an empty
     table gives an empty result; other columns are not read."""
     model = model or train(sample(spark, pages, id_col, html_col))
     src = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
