@@ -173,6 +173,26 @@ def test_transcripts_do_not_depend_on_the_chunk(spark):
     assert whole and sorted(chat_hmm.parse_transcripts(spark, src, chunk=2).select(*cols).collect(), key=str) == whole
 
 
+@pytest.mark.parametrize("seq, conv", [(None, 1), (3, 1), (5, None)])
+def test_chunks_are_bounded_whatever_the_orders(spark, monkeypatch, seq, conv):
+    """Null or tied orders, and rows without a conversation: no task gets more rows of a chunk than its size."""
+    rows = [(conv, seq, f"User: question {k:04d}\nAI: answer {k}") for k in range(700)] + [(conv, seq, "User: same\nAI: yes")] * 300 + [(2, 0, "User: a")]
+    df = spark.createDataFrame(rows, "conv_id long, seq long, text string")
+    cols = ["conv_id", "turn", "role", "text", "n_lines", "rendered"]
+    whole = sorted(chat_hmm.parse_transcripts(spark, df, chunk=1 << 20).select(*cols).collect(), key=str)
+    seen, real = [], chat_hmm.stored
+
+    def spy(session, frame, name):
+        out = real(session, frame, name)
+        if name == "numbered-rows":
+            seen.extend(r["count"] for r in out.groupBy("conv_id", "chunk").count().collect())
+        return out
+
+    monkeypatch.setattr(chat_hmm, "stored", spy)
+    assert sorted(chat_hmm.parse_transcripts(spark, df, chunk=64).select(*cols).collect(), key=str) == whole
+    assert len(whole) == 2001 and sum(seen) == 1000 and max(seen) <= 64
+
+
 def test_roles_of_marked_turns(spark):
     convs = table(spark, SMALL, "conversations")
     want = collections.defaultdict(list)

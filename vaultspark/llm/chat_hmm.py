@@ -8,7 +8,9 @@ its end and whether it looks like code or a list.  Viterbi finds the most likely
 turn is a start and its continuations, its marker is removed, and it is rendered in
 one canonical form.
 
-Scale: a conversation is cut into chunks of ``CHUNK`` consecutive orders.  A chunk's best
+Scale: a conversation of more than ``CHUNK`` rows is cut into chunks of at most as many consecutive
+rows, whatever their orders: its rows are dealt by ranges of order and text, in which a row number
+makes the chunks.  A chunk's best
 scores from any state before it to any state at its end are one 6 x 6 matrix, and these combine
 by maximum and sum, so that a conversation of any length is decoded exactly: chunks
 give their matrices, a pass over a conversation's matrices (a few hundred bytes per
@@ -23,10 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vaultspark.llm.common import stored
 
@@ -34,6 +38,8 @@ ROLES = ("system", "user", "assistant")
 #: States: start of a turn by role 0..2, continuation by role 0..2.
 N_STATES = 6
 CHUNK = 256
+#: Characters of a text that order it among equal orders; a hash orders texts that agree in them.
+HEAD = 1024
 #: Words that name a speaker (fixed values).
 SPEAKERS = {
     "system": "system sys instruction instructions prompt context setup",
@@ -210,18 +216,32 @@ def turns(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield first["conv_id"], first["chunk"], part, starts, ROLES[states[lo] % 3], "\n".join(text), hi - lo, long
 
 
+def cut_rows(it: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by conversation, with their chunk: a number that grows over the
+    ranges and, within one, with every ``chunk`` rows of a conversation."""
+    base, key, n, some = TaskContext.get().partitionId() << 32, None, 0, False
+    for b in it:
+        out = []
+        for conv in b.column("conv_id").to_pylist():
+            if not some or conv != key:
+                key, n, some = conv, 0, True
+            out.append(base + n // chunk)
+            n += 1
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], [*b.schema.names, "chunk"])
+
+
 def parse_transcripts(spark: SparkSession, transcripts: DataFrame, conv_col: str = "conv_id", order_col: str = "seq",
                       text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(conv_id, turn, role, text, n_lines, rendered): the turns of every conversation, numbered from 0.
 
     Fragments of a conversation are joined by line breaks in the order of ``order_col``, ties by
-    their text; a null order comes first and a null text is one empty line; rows without a conversation
+    the first ``HEAD`` characters of their text and then its hash; a null order comes first and a null text is one empty line; rows without a conversation
     id are one conversation.  Repeated rows are read twice.  Blank lines at the ends of a turn are
     dropped, a turn without text stays with an empty one.  An empty table gives an empty
     result; other columns are not read."""
     order = F.coalesce(F.col(f"`{order_col}`").cast("long"), F.lit(-1).cast("long"))
-    src = transcripts.select(F.col(f"`{conv_col}`").alias("conv_id"), F.floor(order / chunk).cast("long").alias("chunk"),
-                             order.alias("seq"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    src = transcripts.select(F.col(f"`{conv_col}`").alias("conv_id"), order.alias("seq"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    by_text = [F.substring("text", 1, HEAD), F.xxhash64("text")]
     conv = src.schema["conv_id"]
     arrow = to_arrow_type(conv.dataType)
 
@@ -233,14 +253,25 @@ def parse_transcripts(spark: SparkSession, transcripts: DataFrame, conv_col: str
         return (lambda it: batched(rows(it), schema)), ddl
 
     def sorted_chunks(df: DataFrame) -> DataFrame:
-        return df.repartition("conv_id", "chunk").sortWithinPartitions("conv_id", "chunk", "seq", "text")
+        return df.repartition("conv_id", "chunk").sortWithinPartitions("conv_id", "chunk", "seq", *by_text)
 
-    # only conversations of several chunks need the matrices; their ids follow from the chunks' numbers
-    spans = src.groupBy("conv_id").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).filter("lo < hi")
-    long = stored(spark, spans.select(F.col("conv_id").alias("_long")), "long-conversations")
+    # only conversations of several chunks need numbered rows and the matrices
+    counts = src.groupBy("conv_id").agg(F.count("*").alias("n")).filter(F.col("n") > chunk)
+    long = stored(spark, counts.select(F.col("conv_id").alias("_long")), "long-conversations")
     same = F.col("conv_id").eqNullSafe(F.col("_long"))
+    if long.head(1):
+        some = src.join(long, same, "left_semi").select("conv_id", "seq", "text", by_text[0].alias("_head"), by_text[1].alias("_hash"),
+                                                        F.monotonically_increasing_id().alias("_tie"))  # equal rows are told apart
+        keys = ["conv_id", "seq", "_head", "_hash", "_tie"]
+        ranged = some.repartitionByRange(*keys).sortWithinPartitions(*keys).select("conv_id", "seq", "text")
+        cut = ranged.mapInArrow(lambda it: cut_rows(it, chunk), StructType([*ranged.schema.fields, StructField("chunk", LongType())]))
+        cut = stored(spark, cut, "numbered-rows")
+        src = src.join(long, same, "left_anti").withColumn("chunk", F.lit(0).cast("long")).union(cut)
+    else:
+        src = src.withColumn("chunk", F.lit(0).cast("long"))
+        cut = src.limit(0)
     given = task(scores, "chunk bigint, m binary, blank_end boolean")
-    matrices = sorted_chunks(src.join(long, same, "left_semi")).mapInArrow(*given)
+    matrices = sorted_chunks(cut).mapInArrow(*given)
     ends = task(borders, "chunk bigint, entry int, exit int, after_blank boolean")
     found = matrices.repartition("conv_id").sortWithinPartitions("conv_id", "chunk").mapInArrow(*ends)
     found = stored(spark, found.select(F.col("conv_id").alias("_conv"), F.col("chunk").alias("_chunk"), "entry", "exit", "after_blank"), "chunk-borders")
