@@ -252,3 +252,20 @@ def test_language_model_equals_brute_force(spark, docs, rows, segment_bytes):
         assert r.base_score == pytest.approx(sum(math.log10((one[w] + 1) / (n + size + 1)) for w in t), abs=1e-6)
         whole = sum(math.log10(p(v, w)) for v, w in zip([None] + t, t))
         assert abs(r.score - whole) <= 0.02 * len(t) + 1e-6
+
+
+def test_open_segments_of_a_remote_store_are_bounded(spark, docs, monkeypatch):
+    model = ngram_trie.learn(spark, docs, segment_bytes=1 << 14)
+    real, seen = ngram_trie.read_array, []
+    free = ngram_trie.Trie(model)
+    prev = np.repeat(np.arange(300), 3)
+    word, base = np.tile(np.arange(3), 300), np.full(900, 1e-6)
+    want = free.log10(prev, word, base)
+    monkeypatch.setattr(ngram_trie, "read_array", lambda *a: seen.append(a) or np.array(real(*a)))  # as from a store that cannot be mapped
+    all_open = ngram_trie.Trie(model)
+    assert all_open.log10(prev, word, base).tolist() == want.tolist() and len(all_open.open.held) > 2
+    bound = all_open.open.size // 2
+    monkeypatch.setattr(ngram_trie, "OPEN_BYTES", bound)
+    few = ngram_trie.Trie(model)
+    assert few.log10(prev, word, base).tolist() == want.tolist()
+    assert 0 < few.open.size <= bound < all_open.open.size and len(few.open.held) < len(all_open.open.held)
