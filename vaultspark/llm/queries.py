@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import chat_hmm, decontaminate, html_blocks, ngram_trie, packing, quality_mil, quality_rules, sharding, simhash, warc
+from vaultspark.llm import (chat_hmm, decontaminate, html_blocks, ngram_trie, packing, piece_agenda, quality_mil, quality_rules, sharding,
+                            simhash, warc)
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,12 @@ def raw_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_chat_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns, roles and canonical form of every transcript."""
     return chat_hmm.parse_transcripts(spark, raw_transcripts(spark, sf_dir))
+
+
+@query
+def op13_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text with the end id, and the text decoded from them."""
+    out = piece_agenda.encode(table(spark, sf_dir, "documents"), model="piece_bpe_32k.model")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.concat_ws(" ", F.transform("ids", lambda i: i.cast("string"))), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
