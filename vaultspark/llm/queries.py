@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import (chat_hmm, decontaminate, html_blocks, ngram_trie, packing, piece_agenda, quality_mil, quality_rules, sharding,
+from vaultspark.llm import (chat_hmm, decontaminate, html_blocks, ngram_trie, packing, pair_bitmaps, piece_agenda, quality_mil, quality_rules, sharding,
                             simhash, warc)
 from vaultspark.llm.common import crc_mod, table
 
@@ -124,3 +124,10 @@ def op13_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.concat_ws(" ", F.transform("ids", lambda i: i.cast("string"))), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+
+
+@query
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two vocabularies in every document, scored by the corpus-wide counts of their pairs."""
+    out = pair_bitmaps.align(spark, table(spark, sf_dir, "documents"), a="byte_bpe_50k", b="piece_bpe_32k.model", keep_groups=False)
+    return out.documents.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
