@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import (chat_hmm, decontaminate, html_blocks, ngram_trie, packing, pair_bitmaps, piece_agenda, quality_mil, quality_rules, sharding,
-                            simhash, warc)
+from vaultspark.llm import (chat_hmm, decontaminate, html_blocks, ngram_trie, oracle, packing, pair_bitmaps, piece_agenda,
+                            quality_mil, quality_rules, sharding, simhash, turn_trie, warc)
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_turn_trie": oracle.TURN_TRIE}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -131,3 +131,21 @@ def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the tokens of two vocabularies in every document, scored by the corpus-wide counts of their pairs."""
     out = pair_bitmaps.align(spark, table(spark, sf_dir, "documents"), a="byte_bpe_50k", b="piece_bpe_32k.model", keep_groups=False)
     return out.documents.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Every conversation c of :func:`turn_trie.sequences` with its first h turns taken from c - c % 20, if that is
+    there; h is crc32 of c's decimal digits modulo 4 (fixed by the contract)."""
+    heads = conversations.where(F.col("conv_id") % 20 == 0).select(F.col("conv_id").alias("_base"), F.slice("turns", 1, 3).alias("_head"))
+    h = crc_mod("conv_id", 4).cast("int")
+    own = F.col("turns")
+    none = F.slice(own, 1, 0)
+    turns = F.concat(F.coalesce(F.slice("_head", F.lit(1), h), none), F.slice(own, h + 1, F.greatest(F.size(own), F.lit(1))))
+    joined = conversations.join(heads, F.col("conv_id") - F.col("conv_id") % 20 == F.col("_base"), "left")
+    return joined.select("conv_id", turns.alias("turns"))
+
+
+@query
+def op11_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with its members, its subtree and what sharing it saves."""
+    return turn_trie.trie(spark, rebuilt(turn_trie.sequences(table(spark, sf_dir, "conversations"))))
