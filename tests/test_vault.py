@@ -125,16 +125,18 @@ def _brute_lag(pdf, order):
     return sorted(keep)
 
 
-def test_collapse_repeats_matches_lag_on_skewed_keys(spark):
+def test_collapse_repeats_matches_lag_on_skewed_keys(spark, monkeypatch):
     rnd = random.Random(7)
     rows = []
     for i in range(600):
         k = "hot" if i % 3 else rnd.choice(["a", "b", None])  # one key holds two thirds
         rows.append((i, k, rnd.choice([1, 2, None]), rnd.randint(0, 5), i * 7 % 601))  # unique tie-breaker
     df = spark.createDataFrame(rows, "id int, k string, v int, d int, t int")
-    for chunk in (None, 4, 16):
-        got = sorted(r.id for r in vault.collapse_repeats(df, "k", "v", ["d", "t"], chunk).collect())
-        assert got == _brute_lag(df.toPandas(), ["d", "t"]), chunk
+    for piece in (4096, 20, 3):
+        monkeypatch.setattr(vault, "LEAST_PIECE", piece)
+        monkeypatch.setattr(vault, "SHARES_PER_PARTITION", 1000)
+        got = sorted(r.id for r in vault.collapse_repeats(df, "k", "v", ["d", "t"]).collect())
+        assert got == _brute_lag(df.toPandas(), ["d", "t"]), piece
 
 
 def test_latest_states_matches_rank(spark):
@@ -157,8 +159,8 @@ def test_plans_use_anti_joins_and_partial_aggregates(spark):
     assert "LeftAnti" in sat_plan and "Window" not in sat_plan
 
 
-def test_collapse_repeats_with_null_order_values(spark):
-    """NULL dates and NULL tie-breakers against a plain LAG, with and without ``chunk``."""
+def test_collapse_repeats_with_null_order_values(spark, monkeypatch):
+    """NULL dates and NULL tie-breakers against a plain LAG, with and without cuts inside a date."""
     import itertools
 
     days = [dt.date(2013, 1, 1), dt.date(2013, 1, 2), None]
@@ -168,6 +170,57 @@ def test_collapse_repeats_with_null_order_values(spark):
     df.createOrReplaceTempView("collapse_nulls")
     want = spark.sql("""SELECT k, d, n, v FROM (SELECT *, lag(v) OVER (PARTITION BY k ORDER BY d ASC NULLS LAST, n ASC NULLS LAST) p
                         FROM collapse_nulls) WHERE v IS DISTINCT FROM p""")
-    for chunk in (None, 1, 4):
-        got = vault.collapse_repeats(df, "k", "v", ["d", "n"], chunk=chunk)
+    monkeypatch.setattr(vault, "SHARES_PER_PARTITION", 1000)
+    for piece in (4096, 1, 3):
+        monkeypatch.setattr(vault, "LEAST_PIECE", piece)
+        got = vault.collapse_repeats(df, "k", "v", ["d", "n"])
         assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_hot_key_and_date_is_cut_at_quantiles(spark, monkeypatch):
+    """Numbers, texts and NULLs as tie-breakers: every cut of one (key, date) gives the plain LAG's rows."""
+    monkeypatch.setattr(vault, "LEAST_PIECE", 16)
+    monkeypatch.setattr(vault, "SHARES_PER_PARTITION", 100)
+    rnd = random.Random(11)
+    rows = [(i, "hot" if i % 3 else f"k{i % 50}", rnd.choice([1, 2]), 1 if i % 3 else i % 9, None if i == 77 else i * i % 99991) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, k string, v int, d int, n int").where("n is not null or id = 77").dropDuplicates(["k", "d", "n"])
+    for tie in ("n", "cast(n as decimal(12,0))", "case when n is not null then lpad(cast(n as string), 6, '0') end", "date_add(date'2000-01-01', n)"):
+        told = df.selectExpr("id", "k", "v", "d", f"{tie} t").cache()
+        told.createOrReplaceTempView("hot_date")
+        want = spark.sql("""SELECT id FROM (SELECT id, v, lag(v) OVER (PARTITION BY k ORDER BY d ASC NULLS LAST, t ASC NULLS LAST) p
+                            FROM hot_date) WHERE v IS DISTINCT FROM p""")
+        cuts = vault._cuts(told, "k", ["d", "t"]).collect()
+        assert [(r._ck, r._co) for r in cuts] == [("hot", 1)] and len(cuts[0]._bounds) > 20
+        got = vault.collapse_repeats(told, "k", "v", ["d", "t"])
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()), tie
+
+
+def test_first_row_per_key_equals_row_number_with_nulls(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice(["x", "y", None]), rnd.choice([LD13, LD14, None]), rnd.choice(["s1", "s2"])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "K_PK string, K_KEY string, LOAD_DATE timestamp_ntz, RECORD_SOURCE string")
+    for n in (3, 10, 300):
+        part = df.limit(n).cache()
+        part.createOrReplaceTempView("first_rows")
+        want = spark.sql("""SELECT K_PK, LOAD_DATE, RECORD_SOURCE, K_KEY FROM (SELECT *, row_number() OVER (PARTITION BY K_PK
+                            ORDER BY LOAD_DATE NULLS FIRST, RECORD_SOURCE NULLS FIRST, K_KEY NULLS FIRST) n FROM first_rows) WHERE n = 1""")
+        got = vault.first_per_key(part, "K_PK", ["LOAD_DATE", "RECORD_SOURCE"], ["K_KEY"])
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_link_keeps_different_rows_under_one_key(spark):
+    """A key part that is '^^' and one that is missing share a link key; both rows are distinct and both are new."""
+    st = stage(spark, [(1, "MIR", 1, "^^", 7e10, D(2013, 1, 1), D(2013, 1, 5), 10), (1, "MIR", 2, None, 7e10, D(2013, 1, 1), D(2013, 1, 5), 10),
+                       (1, "MIR", 3, None, 7e10, D(2013, 1, 1), D(2013, 1, 5), 10)])
+    first = vault.link_payment_rows(st)
+    assert first.count() == 2 and first.select("PAYMENT_PK").distinct().count() == 1
+    assert vault.link_payment_rows(st, first).count() == 0
+
+
+def test_history_is_cut_to_the_keys_of_the_batch(spark):
+    A, B = 70000000001, 70000000002
+    sat = vault.sat_user_rows(_phones(spark, [A, B], user=5)).unionByName(vault.sat_user_rows(_phones(spark, [B], user=6)))
+    batch = _phones(spark, [A], 2014, user=5)
+    assert {r.USER_PK for r in vault.history_as_of(sat, LD14, batch, "USER_PK").collect()} == {r.USER_PK for r in batch.collect()}
+    plan = vault.sat_user_rows(batch, sat, as_of=LD14)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan

@@ -4,16 +4,20 @@ Every loader is ``(staging, current target) -> new rows``; writing is separate
 (``Warehouse.append``).  All of them are shuffle-aware rewrites of the
 window / LEFT JOIN ... IS NULL forms of the reference with the same result:
 
-* first row per key (WN-1/WN-2) is ``min(struct(order..., payload))`` per key, an
-  aggregate with a map-side partial step, so a key holding a third of all rows
-  is reduced before the shuffle instead of landing in one window task;
+* first row per key (WN-1/WN-2) takes the smallest load date per (key, source,
+  key text) first: a hash aggregate whose buffer is one fixed-width number, so a
+  key holding a third of all rows is a few rows per task before the shuffle and
+  nothing is sorted below it; only those few meet in ``min(struct(order...))``;
 * "not yet in the target" (JN-1..3) is an explicit ``left_anti`` join (Catalyst
   does not rewrite LEFT JOIN + IS NULL by itself); NULL keys never match, as in
   the reference;
 * ``DISTINCT`` runs *before* the anti join (same result, the anti join is a row
-  filter on the key) so the shuffle carries deduplicated rows;
+  filter on the key) so the shuffle carries deduplicated rows; that of a link is
+  a set per link key, so one exchange by that key serves DISTINCT, anti join and
+  bucketed write;
 * the satellite's "states of the newest load" (JN-4 + WN-4) is two partial
-  aggregates and an equi-join on ``(key, load date)`` instead of a RANK window.
+  aggregates and an equi-join on ``(key, load date)`` instead of a RANK window,
+  over the history of the batch's own keys only.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultspark.functions.scalar import load_timestamp
 
@@ -39,10 +44,19 @@ NULL_KEY = "\u0000"
 def first_per_key(df: DataFrame, key: str, order_by: list[str], payload: list[str]) -> DataFrame:
     """One row per ``key``: the smallest ``order_by`` tuple wins, ties broken by
     the payload columns.  Equals ``row_number() over (partition by key order by
-    ...) = 1`` with a deterministic tie-breaker, but aggregates map-side."""
-    cols = [c for c in [*order_by, *payload] if c != key]
+    ...) = 1`` with a deterministic tie-breaker.
+
+    The first order column is a date, time or number.  Its minimum per (key, other
+    columns) lives in a fixed-width buffer, so the rows are reduced by a hash
+    aggregate without any sort; what is left per key, one row for each combination
+    of the other columns, meets in the minimum of a struct.  NULL orders first,
+    as in that struct."""
+    first, others = order_by[0], [c for c in [*order_by[1:], *payload] if c != key]
+    least = F.when(F.count_if(F.col(first).isNull()) == 0, F.min(first)).alias(first)
+    few = df.groupBy(key, *others).agg(least)
+    cols = [first, *others]
     best = F.min(F.struct(*[F.col(c) for c in cols])).alias("_first")
-    return df.groupBy(key).agg(best).select(key, *[F.col(f"_first.{c}").alias(c) for c in cols])
+    return few.groupBy(key).agg(best).select(key, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
 # --- hubs (DV-10..13) ------------------------------------------------------------------
@@ -74,12 +88,18 @@ def new_hub_rows(sources: list[DataFrame] | DataFrame, pk: str, key: str,
 def new_link_rows(staging: DataFrame, pk: str, fks: list[str], link: DataFrame | None = None,
                   drop_null_keys: bool = False) -> DataFrame:
     """Rows to insert into a link: distinct (PK, FKs, load date, source) not yet
-    present by PK (JN-2, AG-2)."""
+    present by PK (JN-2, AG-2).
+
+    The distinct rows of a PK are gathered as a set (almost always of one), reduced
+    before the exchange like any aggregate; that exchange by PK is the only one:
+    the anti join against a link bucketed by PK and the bucketed write of the result
+    keep its partitioning."""
     cols = [pk, *fks, LD, RS]
     rows = staging.select(*cols)
     if drop_null_keys:
         rows = rows.where(F.col(pk).isNotNull())
-    rows = rows.distinct()
+    rows = (rows.groupBy(pk).agg(F.collect_set(F.struct(*fks, LD, RS)).alias("_rows"))
+            .select(pk, F.inline("_rows")))
     if link is not None:
         rows = rows.join(link.select(pk), pk, "left_anti")
     return rows.select(*cols)
@@ -87,37 +107,91 @@ def new_link_rows(staging: DataFrame, pk: str, fks: list[str], link: DataFrame |
 
 # --- satellites (DV-15..17) -----------------------------------------------------------------
 
-def _bucket_columns(order_by: list[str], chunk: int | None) -> list[Column]:
-    """Contiguous buckets of the ordering: every order column but the last
-    (the effective date), plus -- only when ``chunk`` is given -- the last one
-    coarsened to ``floor(x / chunk)``."""
-    cols = [F.col(c) for c in order_by[:-1]]
-    if chunk:
-        cols.append(F.floor(F.col(order_by[-1]) / F.lit(chunk)))
-    return cols
-
-
-def collapse_repeats(df: DataFrame, key: str, value: str, order_by: list[str],
-                     chunk: int | None = None) -> DataFrame:
+#: A (key, first order value) with more than one of this many shares of all rows is cut into pieces of about that size.
+SHARES_PER_PARTITION = 32
+#: No segment of fewer rows is cut.
+LEAST_PIECE = 4096
+#: Quantiles of the tie-breaker a cut is chosen from.
+QUANTILES = 2048
+
+
+def _sortable(df: DataFrame, c: str) -> Column | None:
+    """A number that never falls as ``c`` grows, or None for a type without one.  Texts compare by their
+    bytes: the first seven are the number."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.col(c)
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.col(c).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+    return None
+
+
+def _at_most(bounds: Column, value: Column) -> Column:
+    """How many of the ascending ``bounds`` are at most ``value``, by halving."""
+    def halve(range_: Column, _: Column) -> Column:
+        middle = ((range_["lo"] + range_["hi"]) / 2).cast("int")
+        over = (range_["lo"] < range_["hi"]) & (F.get(bounds, middle) > value)
+        under = (range_["lo"] < range_["hi"]) & (F.get(bounds, middle) <= value)
+        return F.struct(F.when(under, middle + 1).otherwise(range_["lo"]).alias("lo"),
+                        F.when(over, middle).otherwise(range_["hi"]).alias("hi"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    steps = F.array(*[F.lit(i) for i in range(QUANTILES.bit_length())])
+    return F.aggregate(steps, start, halve)["lo"]
+
+
+def _cuts(df: DataFrame, key: str, order_by: list[str]) -> DataFrame | None:
+    """(key, first order value, bounds of the tie-breaker) of the segments that are too large for one task.
+
+    At most ``SHARES_PER_PARTITION`` x shuffle partitions of them can be, and all their bounds
+    together are at most twice as many numbers: a table of proven size."""
+    first, tie = order_by[0], order_by[-1]
+    number = _sortable(df, tie) if len(order_by) > 1 else None
+    if number is None:
+        return None
+    shares = SHARES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = df.count()
+    piece = max(total // shares, LEAST_PIECE)
+    if total <= piece:
+        return None
+    sizes = df.groupBy(F.col(key).alias("_ck"), F.col(first).alias("_co")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > piece)
+    large = df.join(F.broadcast(sizes), F.col(key).eqNullSafe(F.col("_ck")) & F.col(first).eqNullSafe(F.col("_co")))
+    steps = [i / QUANTILES for i in range(1, QUANTILES)]
+    found = large.groupBy("_ck", "_co").agg(F.percentile_approx(number, steps, QUANTILES * 4).alias("_q"), F.max("_n").alias("_n"))
+    pieces = F.least(F.ceil(F.col("_n") / F.lit(piece)), F.lit(QUANTILES)).cast("int")
+    chosen = F.transform(F.sequence(F.lit(1), pieces - 1), lambda i: F.get(F.col("_q"), F.floor(i * QUANTILES / pieces).cast("int") - 1))
+    return found.where(pieces > 1).select("_ck", "_co", F.array_distinct(chosen).alias("_bounds"))
+
+
+def collapse_repeats(df: DataFrame, key: str, value: str, order_by: list[str]) -> DataFrame:
     """Keep a row only when ``value`` IS DISTINCT FROM the previous row's value
     of the same key (WN-3 ``lag`` + FL-4).  Consecutive equal states collapse; a
     leading NULL is dropped, as ``NULL IS DISTINCT FROM NULL`` is false.
 
-    Skew-safe: the history of one key is split into contiguous buckets of the
-    ordering (by default its effective date; with ``chunk`` also ranges of the
-    numeric tie-breaker), the lag runs per (key, bucket), and the first row of a
-    bucket takes its previous value from the last row of the preceding bucket
-    (a per-bucket table with one row per key and date).  A key holding a third
-    of all rows is thus spread over its dates; ``tests/skew_evidence.py``
-    measures it.
-    """
-    buckets = _bucket_columns(order_by, chunk)
-    if not buckets:  # a single order column and no chunk: nothing to split by
+    A segmented scan: the rows of a key are cut into segments that follow each other in the
+    order, the lag runs inside each, and the first row of a segment takes its previous value
+    from a small table that carries the last row of the segment before.  Segments
+    are the values of the first order column (the effective date); a (key, date) too large
+    for one task is cut again at quantiles of the tie-breaker, found from the data (see
+    :func:`_cuts`).  Rows alike in key and whole order stay together: the order
+    between them is not defined.  ``tests/skew_evidence.py`` measures a third of all rows on
+    one key, and on one (key, date)."""
+    if len(order_by) < 2:  # the order is the segment: nothing is left to lag over inside
         prev = F.lag(value).over(W.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order_by]))
         return df.withColumn("_prev", prev).where(~F.col(value).eqNullSafe(F.col("_prev"))).drop("_prev")
-    bnames = [f"_b{i}" for i in range(len(buckets))]
-    x = df.withColumn("_k", F.coalesce(F.col(key), F.lit(NULL_KEY)))
-    x = x.withColumns(dict(zip(bnames, buckets)))
+    cuts = _cuts(df, key, order_by)
+    x = df
+    if cuts is None:
+        x = x.withColumn("_s", F.lit(0))
+    else:
+        number = _sortable(df, order_by[-1])
+        on = F.col(key).eqNullSafe(F.col("_ck")) & F.col(order_by[0]).eqNullSafe(F.col("_co"))
+        # a NULL tie-breaker orders last: it joins the last piece
+        place = F.when(number.isNull(), F.size("_bounds")).otherwise(_at_most(F.col("_bounds"), number))
+        x = x.join(F.broadcast(cuts), on, "left").withColumn("_s", F.when(F.col("_bounds").isNull(), 0).otherwise(place))
+        x = x.drop("_ck", "_co", "_bounds")
+    bnames = [f"_b{i}" for i in range(len(order_by))]
+    x = x.withColumn("_k", F.coalesce(F.col(key), F.lit(NULL_KEY)))
+    x = x.withColumns(dict(zip(bnames, [*[F.col(c) for c in order_by[:-1]], F.col("_s")]))).drop("_s")
     # PostgreSQL orders NULLs last on ASC; (is_null, value) pairs give the
     # struct comparison below the same order.
     order = [F.col(c).asc_nulls_last() for c in order_by]
@@ -134,7 +208,7 @@ def collapse_repeats(df: DataFrame, key: str, value: str, order_by: list[str],
                         F.lag(F.col(f"_last.{value}")).over(w_b).alias("_edge"))
 
     on = F.col("_k") == F.col("_ek")
-    for b in bnames:  # the bucket of NULL order values has its edge, too
+    for b in bnames:  # the segment of NULL order values has its edge, too
         on = on & F.col(b).eqNullSafe(F.col(f"_e{b}"))
     x = x.join(edges, on, "left").drop("_ek", *[f"_e{b}" for b in bnames])
     prev = F.when(F.col("_first"), F.col("_edge")).otherwise(F.col("_prev"))
@@ -143,17 +217,24 @@ def collapse_repeats(df: DataFrame, key: str, value: str, order_by: list[str],
 
 def history_as_of(sat: DataFrame, as_of: dt.datetime | str | None = None,
                   batch: DataFrame | None = None, pk: str | None = None) -> DataFrame:
-    """Satellite rows loaded no later than the batch (JN-4 + FL-6).
+    """Satellite rows loaded no later than the batch (JN-4 + FL-6), of the batch's keys if it is given.
 
     The reference joins the satellite to every batch row on the key with
     ``sat.LOAD_DATE <= batch.LOAD_DATE`` and uses the fan-out only as an
     existence test.  With the batch load date known (``as_of``; all rows of a
-    staging batch share it) that is a plain filter.  Otherwise it is a
-    ``left_semi`` join on the key with the same inequality, against the latest
-    load date per key of the batch (pre-aggregated, so no fan-out).
+    staging batch share it) the inequality is a filter that reaches the scan.  The key
+    test is a ``left_semi`` join with the batch's distinct keys (pre-aggregated with their
+    latest load date where ``as_of`` is not known): everything after it works
+    on as many keys as the batch has.  The batch is filtered by its load date, which
+    lets Spark put a Bloom filter of its keys below the history's own exchange.
     """
     if as_of is not None:
-        return sat.where(F.col(LD) <= load_timestamp(as_of))
+        ld = load_timestamp(as_of)
+        sat = sat.where(F.col(LD) <= ld)
+        if batch is None or pk is None:
+            return sat
+        keys = batch.where(F.col(pk).isNotNull() & (F.col(LD) <= ld)).select(pk).distinct()
+        return sat.join(keys, pk, "left_semi")
     if batch is None or pk is None:
         return sat
     bounds = batch.groupBy(pk).agg(F.max(LD).alias("_batch_ld"))
@@ -190,35 +271,20 @@ def latest_states(history: DataFrame, pk: str, hashdiff: str,
     raise ValueError("mode must be 'latest_load' or 'last_state'")
 
 
-def advance_latest(latest: DataFrame, inserted: DataFrame, pk: str, hashdiff: str,
-                   load_date: dt.datetime | str) -> DataFrame:
-    """Latest states after a load at ``load_date`` that inserted ``inserted``.
-
-    ``latest`` holds (PK, HASHDIFF, LOAD_DATE) of every key's newest load; the
-    load is the newest so far.  A key with inserted rows now has ``load_date`` as
-    its newest load: its states are the inserted ones plus any it already had
-    at that date (a rerun); every other key keeps its states.  This touches
-    the latest states only -- O(keys), not O(history)."""
-    ld = load_timestamp(load_date)
-    new = inserted.where(F.col(pk).isNotNull()).select(pk, hashdiff, F.col(LD))
-    keys = new.select(pk).distinct()
-    others = latest.join(keys, pk, "left_anti")
-    same_load = latest.join(keys, pk, "left_semi").where(F.col(LD) == ld)
-    return others.unionByName(same_load).unionByName(new).distinct()
-
-
 def new_sat_rows(source: DataFrame, pk: str, hashdiff: str, payload: list[str],
                  sat: DataFrame | None = None, as_of: dt.datetime | str | None = None,
-                 mode: str = "latest_load", latest: DataFrame | None = None) -> DataFrame:
+                 mode: str = "latest_load", batch: DataFrame | None = None) -> DataFrame:
     """Rows to insert into a satellite (DV-15/16): distinct source states whose
     (PK, HASHDIFF) is not among the latest states of the key (JN-3, AG-2).
-    ``latest`` may pass those states precomputed (see :func:`advance_latest`)
-    instead of deriving them from the satellite's history."""
+
+    ``sat`` is the satellite's history, or any rows with key, hash diff and load date that
+    have the same latest states (see ``pipeline.known_states``).  ``batch`` gives the keys whose
+    history matters where reading ``source`` again for them would cost more."""
     cols = [pk, hashdiff, *payload, EFF, LD, RS]
     rows = source.select(*cols).distinct()
-    if latest is None and sat is not None:
-        latest = latest_states(history_as_of(sat, as_of, source, pk), pk, hashdiff, mode)
-    if latest is not None:
+    if sat is not None:
+        batch = source if batch is None else batch
+        latest = latest_states(history_as_of(sat, as_of, batch, pk), pk, hashdiff, mode)
         rows = rows.join(latest.select(pk, hashdiff), [pk, hashdiff], "left_anti")
     return rows.select(*cols)
 
@@ -227,12 +293,11 @@ def new_sat_rows_with_changes(source: DataFrame, pk: str, hashdiff: str, value:
                               payload: list[str], order_by: list[str],
                               sat: DataFrame | None = None,
                               as_of: dt.datetime | str | None = None,
-                              mode: str = "latest_load", chunk: int | None = None,
-                              latest: DataFrame | None = None) -> DataFrame:
+                              mode: str = "latest_load") -> DataFrame:
     """DV-17: in-batch change detection first (consecutive equal ``value``s of a
     key collapse, ordered by ``order_by``), then as :func:`new_sat_rows`."""
-    changed = collapse_repeats(source, pk, value, order_by, chunk)
-    return new_sat_rows(changed, pk, hashdiff, payload, sat, as_of, mode, latest)
+    changed = collapse_repeats(source, pk, value, order_by)
+    return new_sat_rows(changed, pk, hashdiff, payload, sat, as_of, mode, batch=source)
 
 
 # --- the reference's loads, by name -------------------------------------------------------
@@ -249,30 +314,28 @@ def link_payment_rows(payment_staging: DataFrame, link: DataFrame | None = None)
 
 
 def sat_payment_rows(payment_staging: DataFrame, sat: DataFrame | None = None,
-                     as_of=None, mode: str = "latest_load", latest: DataFrame | None = None) -> DataFrame:
+                     as_of=None, mode: str = "latest_load") -> DataFrame:
     src = payment_staging.withColumn(EFF, F.col(EFF).cast("timestamp_ntz"))
     return new_sat_rows(src, "PAYMENT_PK", "PAY_DOC_HASHDIFF", ["pay_doc_num", "pay_date", "sum"],
-                        sat, as_of, mode, latest)
+                        sat, as_of, mode)
 
 
 def sat_mdm_rows(mdm_staging: DataFrame, sat: DataFrame | None = None, as_of=None,
-                 mode: str = "latest_load", latest: DataFrame | None = None) -> DataFrame:
+                 mode: str = "latest_load") -> DataFrame:
     # registered_at is hashed as DATE text, stored as TIMESTAMP (Q-8)
     src = mdm_staging.withColumns({
         "registered_at": F.col("registered_at").cast("timestamp_ntz"),
         EFF: F.col(EFF).cast("timestamp_ntz"),
     })
-    return new_sat_rows(src, "MDM_PK", "MDM_HASHDIFF", ["registered_at", "is_vip"], sat, as_of, mode,
-                        latest)
+    return new_sat_rows(src, "MDM_PK", "MDM_HASHDIFF", ["registered_at", "is_vip"], sat, as_of, mode)
 
 
 def sat_user_rows(payment_staging: DataFrame, sat: DataFrame | None = None, as_of=None,
-                  mode: str = "latest_load", chunk: int | None = None,
-                  latest: DataFrame | None = None) -> DataFrame:
+                  mode: str = "latest_load") -> DataFrame:
     """Phone history: LAG ordered by effective date, then document number (Q-4)."""
     src = payment_staging.withColumn(EFF, F.col(EFF).cast("timestamp_ntz"))
     return new_sat_rows_with_changes(src, "USER_PK", "USER_HASHDIFF", "phone", ["phone"],
-                                     [EFF, "pay_doc_num"], sat, as_of, mode, chunk, latest)
+                                     [EFF, "pay_doc_num"], sat, as_of, mode)
 
 
 # Earlier payment vault (DV-18)

@@ -166,6 +166,8 @@ SATS = {  # satellite -> (schema, loader, staging it reads, key, hash diff)
     "sat_mdm": (schemas.SAT_MDM, vault.sat_mdm_rows, "mdm", "MDM_PK", "MDM_HASHDIFF"),
 }
 VERSION = "version"
+#: Deltas of a satellite's states that may be open before they are merged into a new base.
+OPEN_DELTAS = 4
 
 
 def _latest_schema(pk: str, hd: str) -> T.StructType:
@@ -179,53 +181,80 @@ def _versions(wh: Warehouse, name: str, schema: T.StructType) -> list[int]:
     return sorted(map(int, wh.partitions(name, VERSION)))
 
 
-def _loaded_after(sat: DataFrame, when: dt.datetime) -> bool:
-    """Any satellite row loaded after ``when``?  A pushed filter on LOAD_DATE:
-    row groups are skipped by their statistics, and one row answers it."""
-    return sat.where(F.col("LOAD_DATE") > vault.load_timestamp(when)).limit(1).count() > 0
+def _chain(wh: Warehouse, name: str, before: int) -> tuple[DataFrame | None, int | None, int | None, list[int]]:
+    """(states, last version, base version, open deltas) of the chain of versions before a year.
+
+    ``<sat>_base`` holds the latest states of every key as of its version, ``<sat>_latest`` one delta
+    for each later version: the latest states of the keys loaded since the version before it."""
+    _, _, _, pk, hd = SATS[name]
+    schema = _latest_schema(pk, hd)
+    base = max((v for v in _versions(wh, f"{name}_base", schema) if v < before), default=None)
+    deltas = [v for v in _versions(wh, f"{name}_latest", schema) if v < before and (base is None or v > base)]
+    parts = []
+    if base is not None:
+        parts.append(wh.read(f"{name}_base", schema).where(F.col(VERSION) == base))
+    if deltas:
+        parts.append(wh.read(f"{name}_latest", schema).where(F.col(VERSION).isin(deltas)))
+    last = max([*deltas, *([] if base is None else [base])], default=None)
+    return (reduce(DataFrame.unionByName, parts).drop(VERSION) if parts else None), last, base, deltas
+
+
+def known_states(wh: Warehouse, name: str, sat: DataFrame, year: int) -> tuple[DataFrame, int | None]:
+    """Rows (key, hash diff, load date) whose latest states equal those of the satellite's history up to
+    ``year``, and the last version they rest on: the chain, and the history loaded after its last version.
+
+    That tail is empty in a forward load: a filter on LOAD_DATE that the row groups' statistics
+    answer.  It holds the first load's rows in a rerun, and those of loads whose version was never
+    written, so a crash in between needs no special case."""
+    _, _, _, pk, hd = SATS[name]
+    states, last, _, _ = _chain(wh, name, year)
+    tail = sat if last is None else sat.where(F.col("LOAD_DATE") > vault.load_timestamp(load_date_of(last)))
+    tail = tail.select(pk, hd, "LOAD_DATE")
+    return (tail if states is None else states.unionByName(tail)), last
+
+
+def advance_states(wh: Warehouse, name: str, sat: DataFrame, year: int) -> None:
+    """Write the delta of ``year``; with more than ``OPEN_DELTAS`` of them merge the chain into a new base
+    and drop what it replaces.  State rows never exceed one version of the keys and the open deltas."""
+    _, _, _, pk, hd = SATS[name]
+    _, last, _, _ = _chain(wh, name, year)
+    tail = vault.history_as_of(sat, load_date_of(year))
+    if last is not None:
+        tail = tail.where(F.col("LOAD_DATE") > vault.load_timestamp(load_date_of(last)))
+    delta = vault.latest_states(tail, pk, hd, with_load_date=True)
+    wh.overwrite_partition(f"{name}_latest", str(year), delta, column=VERSION)
+    states, _, base, deltas = _chain(wh, name, year + 1)
+    if len(deltas) > OPEN_DELTAS:
+        wh.overwrite_partition(f"{name}_base", str(year), vault.latest_states(states, pk, hd, with_load_date=True), column=VERSION)
+        # the new base is committed: from here on nothing reads what it replaces
+        wh.drop_partitions(f"{name}_latest", [str(v) for v in deltas], column=VERSION)
+        if base is not None:
+            wh.drop_partitions(f"{name}_base", [str(base)], column=VERSION)
 
 
 def load_sat(wh: Warehouse, name: str, staging_df: DataFrame, load_date: dt.datetime,
              incremental: bool = True) -> None:
     """One satellite load.
 
-    The rows to insert are written once (``<sat>_new_<year>``) and appended
-    from there.  With ``incremental`` the satellite keeps a versioned table of
-    its latest states (version = batch year).  A forward load reads the
-    newest version before its year instead of aggregating the whole history
-    and writes its own version by :func:`vault.advance_latest` -- O(keys) per
-    year.  The first load and a rerun of a loaded year take the full history
-    (the reference's semantics, including a rerun's re-inserts) and rebuild the
-    year's version from it; versions after a rerun year are dropped as stale.
-    """
+    The rows to insert are written once (``<sat>_new_<year>``) and appended from there,
+    clustered by key.  With ``incremental`` the comparison reads the chain of
+    latest states (:func:`known_states`) instead of the whole history, cut to the keys
+    of the batch in either case, and the year adds its delta (:func:`advance_states`).  A
+    rerun of a loaded year drops that year's and later versions first: they rest on
+    what it changes."""
     schema, loader, _, pk, hd = SATS[name]
     year = load_date.year
     sat = _read_or_empty(wh, name, schema)
-    latest_name, lschema = f"{name}_latest", _latest_schema(pk, hd)
-    versions = _versions(wh, latest_name, lschema) if incremental else []
-    before = [v for v in versions if v < year]
-    prev = before[-1] if before and year not in versions else None
-    if prev is not None and _loaded_after(sat, load_date_of(prev)):
-        prev = None  # the version is stale (a crash after an append, or an older year): use history
-    latest = None
-    if prev is not None:
-        latest = wh.read(latest_name, lschema).where(F.col(VERSION) == prev).drop(VERSION)
-    elif incremental:
-        # rebuilt from history below; drop it (and later ones) first, so a crash
-        # before the rebuild cannot leave a version that looks current
-        wh.drop_partitions(latest_name, [str(v) for v in versions if v >= year], column=VERSION)
+    states = sat
+    if incremental:
+        for table in (f"{name}_latest", f"{name}_base"):
+            wh.drop_partitions(table, [str(v) for v in _versions(wh, table, schema) if v >= year], column=VERSION)
+        states, _ = known_states(wh, name, sat, year)
     new_name = f"{name}_new_{year}"
-    wh.replace(new_name, loader(staging_df, sat, as_of=load_date, latest=latest))
-    new_rows = wh.read(new_name, schema)
-    wh.append(name, new_rows)
-    if not incremental:
-        return
-    if latest is not None:
-        nxt = vault.advance_latest(latest, new_rows, pk, hd, load_date)
-    else:
-        full = vault.history_as_of(wh.read(name, schema), load_date)
-        nxt = vault.latest_states(full, pk, hd, with_load_date=True)
-    wh.overwrite_partition(latest_name, str(year), nxt, column=VERSION)
+    wh.replace(new_name, loader(staging_df, states, as_of=load_date))
+    wh.append(name, wh.read(new_name, schema), cluster_by=[pk, hd])
+    if incremental:
+        advance_states(wh, name, wh.read(name, schema), year)
 
 
 def load_sats(wh: Warehouse, stg: dict[str, DataFrame], load_date: dt.datetime,

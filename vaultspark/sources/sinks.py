@@ -214,12 +214,17 @@ class Warehouse:
          .partitionBy(column).parquet(self.path(name)))
 
     # SK-4: append rows with an explicit column list
-    def append(self, name: str, df: DataFrame, columns: list[str] | None = None) -> None:
+    def append(self, name: str, df: DataFrame, columns: list[str] | None = None,
+               cluster_by: list[str] | None = None) -> None:
+        """``cluster_by``: files hold ranges of these columns in order, so the statistics of
+        their row groups tell them apart.  Ranges of several columns split a key that fills many files."""
         if columns:
             df = df.select(*columns)
         if name in self.buckets:
             self._bucketed_write(name, df, "append")
             return
+        if cluster_by:
+            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
         df.write.mode("append").parquet(self.path(name))
 
     # SK-6 / SK-7 / SK-8: replace a whole table
