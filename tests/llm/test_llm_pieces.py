@@ -54,18 +54,29 @@ def test_long_runs_and_repeats(agenda):
     assert [agenda.encode(t) for t in texts] == agenda.library.encode(texts, add_eos=True)
 
 
+def test_rows_of_agendas_equal_the_heap(agenda):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghtinrs▁.é漢\n") for _ in range(rng.randint(1, 32))) for _ in range(20_000)]
+    for w, ids in zip(words, agenda.join_rows(words)):
+        if ids is not None:
+            assert ids == agenda.long_word(w)
+    assert agenda.join_rows(["the", "🙂x"])[1] is None or "🙂" in agenda.ids
+
+
 def test_tables_of_words_stay_bounded(monkeypatch):
     monkeypatch.setattr(piece_agenda, "WORDS", 50)
     a = piece_agenda.Agenda(piece_agenda.model_path())
     text = " ".join(f"w{i}ord" for i in range(500)) * 2
     assert a.encode(text) == a.library.encode(text, add_eos=True)
-    assert len(a.known) <= 50 and len(a.known_runs) <= 50
+    assert a.encode("only few") == a.library.encode("only few", add_eos=True)
+    assert len(a.known) <= 50
 
 
 def test_vocabulary_with_joins_over_spaces_is_not_cut_there(agenda):
     a = piece_agenda.Agenda(piece_agenda.model_path())
     a.ids["b▁"], a.place["b▁"] = 7, -1
     a.pairs, a.words = a.pairs | {"b▁"}, None
+    a._number_symbols()
     assert a.encode("ab cd") == plain(a, "ab cd") != agenda.encode("ab cd")
 
 

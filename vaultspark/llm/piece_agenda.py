@@ -1,15 +1,17 @@
 """SentencePiece encoding of merge-type vocabularies by a score-ordered agenda.
 
-A text is a row of symbols, at first its characters.  The agenda is a heap of
+A text is a row of symbols, at first its characters.  The agenda holds the
 adjacent symbol pairs whose join is a piece, the highest score first and the
 leftmost first among equal scores.  The best pair is joined, the pairs it forms
-with its neighbours enter the agenda, and outdated entries are skipped as they
-come up.  A symbol left over that is no piece becomes byte pieces.
+with its neighbours enter the agenda, and outdated entries leave it.  A symbol
+left over that is no piece becomes byte pieces.
 
 Texts are cut where no join can ever happen, which changes no result: between two
 characters that follow each other in no piece of the vocabulary.  For the usual
 vocabularies that holds before every space after a word, so a text falls into
-words and these into runs, whose answers are remembered (bounded tables per worker).
+words, whose answers are remembered (a bounded table per worker).  The new short
+words of an Arrow batch share a table of agendas, one row for each, and a round pops
+the best entry of every row; longer runs have a heap of their own.
 
 Every Arrow batch is encoded a second time by the sentencepiece library; the
 column ``agrees`` says whether both give the same ids.  The ids returned are the
@@ -23,7 +25,9 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -31,8 +35,9 @@ from vaultspark.llm.common import distinct_names, small_batches, texts
 
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
-#: Entries of a worker's tables of words and runs, and the longest word kept in them.
-WORDS, WORD_CHARS = 300_000, 64
+#: Entries of a worker's table of words, and the longest word kept in it and in a table of agendas.
+WORDS, WORD_CHARS = 500_000, 64
+NONE = np.iinfo(np.int32).max
 BATCH_BYTES = 4 << 20
 MERGES, NORMAL, CONTROL = 2, 1, 3
 
@@ -109,10 +114,82 @@ class Agenda:
         self.place = {p: place[s] for p, s in scores.items() if len(p) > 1}
         self.pairs = {p[k:k + 2] for p in self.place for k in range(len(p) - 1)}
         open_spaces = any(a != SPACE_MARK and b == SPACE_MARK for a, b in self.pairs)
-        self.words = None if open_spaces else re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
+        # white space that no piece joins to anything is a word of its own
+        lone = "".join(c for c in "\t\n\x0b\x0c\r" if not any(c in p for p in self.pairs))
+        self.words = None if open_spaces else re.compile(
+            f"{SPACE_MARK}*[^{SPACE_MARK}{lone}]+|{SPACE_MARK}+" + (f"|[{lone}]" if lone else ""))
         self.end = lib.eos_id()
-        self.known: dict[str, list[int]] = {}
-        self.known_runs: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self._number_symbols()
+
+    def _number_symbols(self) -> None:
+        """Symbols of the tables of agendas: pieces and their characters; what two neighbours join to."""
+        symbols = {s: n for n, s in enumerate(dict.fromkeys([*self.ids, *chain.from_iterable(self.place)]))}
+        self.unknown = len(symbols)
+        self.symbol_ids = np.array([*[self.ids.get(s, -1) for s in symbols], -1], dtype=np.int32)
+        self.of_char = np.full(0x110000, self.unknown, dtype=np.int32)
+        for s, n in symbols.items():
+            if len(s) == 1:
+                self.of_char[ord(s)] = n
+        joins = sorted((symbols[p[:k]] * (self.unknown + 1) + symbols[p[k:]], place, symbols[p]) for p, place in self.place.items()
+                       for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols)
+        self.join_keys, self.join_places, self.join_symbols = (np.array(c, dtype=t) for c, t in zip(zip(*joins), (np.int64, np.int32, np.int32)))
+
+    def seats(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, joined symbol) of pairs of neighbours; place ``NONE`` where they do not join."""
+        key = left.astype(np.int64) * (self.unknown + 1) + right
+        at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
+        return np.where(self.join_keys[at] == key, self.join_places[at], NONE), self.join_symbols[at]
+
+    def join_rows(self, words: list[str]) -> list[bytes | None]:
+        """The agendas of many short words at once: ids of each as 4-byte numbers, None where a character is no piece."""
+        n, sizes = len(words), np.array(list(map(len, words)))
+        width = int(sizes.max())
+        symbol = np.full((n, width), self.unknown, dtype=np.int32)
+        inside = np.arange(width) < sizes[:, None]
+        symbol[inside] = self.of_char[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), (n, 1))
+        before = np.tile(np.arange(-1, width - 1, dtype=np.int32), (n, 1))
+        place, joined = np.full((n, width), NONE, dtype=np.int32), np.zeros((n, width), dtype=np.int32)
+        if width > 1:
+            place[:, :-1], joined[:, :-1] = self.seats(symbol[:, :-1], symbol[:, 1:])
+        rows = np.arange(n)
+        while len(rows):
+            left = place[rows].argmin(axis=1)  # the best entry of every agenda, the leftmost of equals
+            open_ = place[rows, left] != NONE
+            rows, left = rows[open_], left[open_]
+            right, new = after[rows, left], joined[rows, left]
+            end = after[rows, right]
+            symbol[rows, left], after[rows, left] = new, end
+            symbol[rows, right], place[rows, right] = -1, NONE
+            place[rows, left] = NONE
+            some = end < sizes[rows]
+            r, e, l_ = rows[some], end[some], left[some]
+            before[r, e] = l_
+            place[r, l_], joined[r, l_] = self.seats(new[some], symbol[r, e])
+            first = before[rows, left]
+            some = first >= 0
+            r, f = rows[some], first[some]
+            place[r, f], joined[r, f] = self.seats(symbol[r, f], new[some])
+        alive = inside & (symbol >= 0)
+        ids = self.symbol_ids[symbol[alive]]
+        known = np.logical_and.reduceat(ids >= 0, np.cumsum(alive.sum(axis=1)) - alive.sum(axis=1))
+        raw, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(alive.sum(axis=1))).tolist()
+        return [raw[a:b] if k else None for a, b, k in zip([0, *ends], ends, known.tolist())]
+
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of new words of at most ``WORD_CHARS`` characters."""
+        groups: dict[int, list[str]] = {}
+        for w in words:
+            groups.setdefault((len(w) - 1) // 8, []).append(w)
+        for group in groups.values():
+            for lo in range(0, len(group), 20_000):
+                part = group[lo:lo + 20_000]
+                for w, ids in zip(part, self.join_rows(part)):
+                    self.known[w] = self.long_word(w) if ids is None else ids
+
+    def long_word(self, word: str) -> bytes:
+        return np.array([i for run in self.runs(word) for i in self.join(run)], dtype="<i4").tobytes()
 
     def join(self, run: str) -> list[int]:
         """The agenda over one run of characters."""
@@ -168,34 +245,29 @@ class Agenda:
         cuts = [0, *[i for i in range(1, len(word)) if word[i - 1:i + 1] not in pairs], len(word)]
         return [word[i:j] for i, j in zip(cuts, cuts[1:])]
 
-    def run_ids(self, run: str) -> list[int]:
-        """:meth:`join`, remembered for short runs."""
-        if len(run) > WORD_CHARS:
-            return self.join(run)
-        ids = self.known_runs.get(run)
-        if ids is None:
-            if len(self.known_runs) >= WORDS:
-                self.known_runs.clear()
-            ids = self.known_runs[run] = self.join(run)
-        return ids
+    def encode_all(self, whole: list[str]) -> list[np.ndarray]:
+        """Ids of each text, the end id last.  An empty text is the end id alone."""
+        marked = [self.prefix + t.replace(" ", SPACE_MARK) if t else "" for t in whole]
+        split = [self.words.findall(m) if self.words else [m] if m else [] for m in marked]
+        wanted = set(chain.from_iterable(split))
+        longer = {w for w in wanted if len(w) > WORD_CHARS}
+        wanted -= longer
+        new = wanted - self.known.keys()
+        if len(self.known) + len(new) > WORDS:
+            self.known, new = {}, wanted
+        self.learn(new)
+        known, end, out = self.known, np.array([self.end], dtype="<i4").tobytes(), []
+        for words in split:
+            if longer and not longer.isdisjoint(words):
+                raw = b"".join([self.long_word(w) if w in longer else known[w] for w in words])
+            else:
+                raw = b"".join(map(known.__getitem__, words))
+            out.append(np.frombuffer(raw + end, "<i4"))
+        return out
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text, the end id last.  An empty text is the end id alone."""
-        out: list[int] = []
-        if text:
-            marked = self.prefix + text.replace(" ", SPACE_MARK)
-            known = self.known
-            for word in self.words.findall(marked) if self.words else (marked,):
-                ids = known.get(word)
-                if ids is None:
-                    ids = [i for run in self.runs(word) for i in self.run_ids(run)]
-                    if len(word) <= WORD_CHARS:
-                        if len(known) >= WORDS:
-                            known.clear()
-                        known[word] = ids
-                out += ids
-        out.append(self.end)
-        return out
+        """:meth:`encode_all` of one text."""
+        return self.encode_all([text])[0].tolist()
 
 
 @lru_cache(maxsize=2)
@@ -218,13 +290,15 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         agenda = opened(model_path(model))
         for b in small_batches(it, "text", BATCH_BYTES):
             whole = [t.decode("utf-8", "replace") for t in texts(b.column("text"))]
-            ids = [agenda.encode(t) for t in whole]
+            ids = agenda.encode_all(whole)
+            lists = [i.tolist() for i in ids]
             agrees = [None] * len(ids)
             if check:
-                agrees = [a == o for a, o in zip(ids, agenda.library.encode(whole, add_eos=True, num_threads=1))]
+                agrees = [a == o for a, o in zip(lists, agenda.library.encode(whole, add_eos=True, num_threads=1))]
+            offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(agenda.library.decode(ids), pa.string()), pa.array(agrees, pa.bool_())],
+                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32())),
+                 pa.array(agenda.library.decode(lists), pa.string()), pa.array(agrees, pa.bool_())],
                 ["doc_id", "ids", "decoded", "agrees"])
 
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string, agrees boolean")
