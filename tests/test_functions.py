@@ -1,10 +1,13 @@
 import datetime as dt
 import hashlib
+import ipaddress
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from vaultspark.functions import hashing, scalar
+from vaultspark.functions.inet import inet_order, is_inet
 from vaultspark.sources.sinks import partition_label
 
 
@@ -80,6 +83,55 @@ def test_ipv4(spark):
         spark.createDataFrame(data, "ip string").select(scalar.inet("ip")).collect()
 
 
+def printed_inet(text):
+    """INET's way of printing in plain Python, from the 128 bits."""
+    address, _, mask = text.partition("/")
+    value = ipaddress.ip_address(address)
+    if value.version == 4:
+        return address + (f"/{mask}" if mask and mask != "32" else "")
+    words = [int(value) >> (112 - 16 * i) & 0xFFFF for i in range(8)]
+    best = max(((j - i, -i) for i in range(8) for j in range(i + 1, 9) if not any(words[i:j])), default=(0, 0))
+    most, first = best[0], -best[1]
+    dotted = ".".join(str(b) for b in int(value).to_bytes(16, "big")[12:])
+    if first == 0 and (most == 6 or most == 7 and words[7] != 1 or most == 5 and words[5] == 0xFFFF):
+        shown = ("::ffff:" if most == 5 else "::") + dotted
+    elif most < 2:
+        shown = ":".join(f"{w:x}" for w in words)
+    else:
+        shown = ":".join(f"{w:x}" for w in words[:first]) + "::" + ":".join(f"{w:x}" for w in words[first + most:])
+    return shown + (f"/{mask}" if mask and mask != "128" else "")
+
+
+def test_inet_of_both_families(spark):
+    rnd = random.Random(4)
+    good = ["::", "::1", "::2", "::0.0.0.1", "1::", "2001:DB8::1", "2001:db8:0:0:1:0:0:1", "1:0:2:0:3:0:4:0", "fe80::1/64", "::/0", "::ffff:10.0.1.7",
+            "::FFFF:0a00:0107", "64:ff9b::1.2.3.4", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:1.2.3.4", "0:0:0:0:0:0:0:1/128", "1.2.3.4", "1.2.3.4/32", "1.2.3.0/24",
+            "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "0001:0::0"]
+    for _ in range(300):
+        words = [rnd.choice([0, 0, 0, 1, 0xFFFF, rnd.randrange(65536)]) for _ in range(8)]
+        plain = ":".join(f"{w:0{rnd.choice([1, 4])}x}" for w in words)
+        good += [plain, str(ipaddress.ip_address(plain)).upper() + rnd.choice(["", "/128", "/0", "/99"])]
+    bad = ["", ":", ":::", "1::2::3", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1:2:3:4:5:6:7:8::", "12345::", "g::", "::1/129", "::1/", "/64", "1.2.3.4/33",
+           "1.2.3", "::1.2.3", "::256.1.1.1", "1.2.3.4::", "1:2:3:4:5:6:7:1.2.3.4", "x", " ::1", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:"]
+    data = [(t,) for t in good]
+    assert one(spark, scalar.inet("ip", "null"), data, "ip string") == [printed_inet(t) for t in good]
+    assert one(spark, scalar.inet("ip"), data, "ip string") == [printed_inet(t) for t in good]
+    assert one(spark, scalar.inet("ip", "null"), [(t,) for t in bad], "ip string") == [None] * len(bad)
+    assert one(spark, is_inet("ip"), [("::1",), ("1::2::3",), (None,), ("1.1.1.1",)], "ip string") == [True, False, None, True]
+    assert one(spark, scalar.inet_text("ip"), [("::1",), ("fe80::/10",)], "ip string") == ["::1/128", "fe80::/10"]
+    with pytest.raises(Exception):
+        spark.createDataFrame([("1::2::3",)], "ip string").select(scalar.inet("ip")).collect()
+
+
+def test_inet_order_follows_the_bits(spark):
+    good = ["::1", "::2", "2001:db8::1", "2001:DB8:0::0:1", "1.2.3.4", "255.0.0.1", "9.0.0.0/8", "9.0.0.0", "ffff::", "::ffff:1.2.3.4", "::/0"]
+    keys = dict(zip(good, one(spark, inet_order("ip"), [(t,) for t in good], "ip string")))
+    want = sorted(good, key=lambda t: (lambda a, m: (a.version, int(a), int(m or a.max_prefixlen)))(ipaddress.ip_address(t.split("/")[0]), t.partition("/")[2]))
+    assert sorted(good, key=lambda t: (bytes(keys[t]))) == want
+    assert keys["2001:db8::1"] == keys["2001:DB8:0::0:1"] and len(keys["::1"]) == 18
+    assert one(spark, inet_order("ip"), [("x",), (None,), ("1::2::3",)], "ip string") == [None] * 3
+
+
 def test_epoch_millis(spark):
     ms = 1388534400123
     out = one(spark, scalar.epoch_millis_to_ts("m"), [(ms,)], "m long")

@@ -88,8 +88,15 @@ def test_results_are_kept(spark, tmp_path):
     res = Q.validate(df, "s", [{"expectation_type": Q.NOT_NULL, "kwargs": {"column": "a"}}], "r1",
                      dt.datetime(2021, 1, 1))
     Q.store_results(wh, res)
-    Q.store_results(wh, res)
-    assert wh.read("validation_results").count() == 2
+    Q.store_results(wh, res)  # the same run again: replaced as a unit
+    assert Q.stored_results(wh).collect() == res.collect()
+    other = Q.validate(df, "s", [{"expectation_type": Q.NOT_NULL, "kwargs": {"column": "a"}}] * 2, "r/2 =",
+                       dt.datetime(2021, 1, 2))
+    Q.store_results(wh, other.unionByName(Q.validate(df, "t", [], "r1")))
+    assert Q.stored_results(wh).count() == 3 and Q.stored_results(wh, run_name="r/2 =").count() == 2
+    Q.store_results(wh, other.limit(1))
+    assert Q.stored_results(wh, run_name="r/2 =").count() == 1 and Q.stored_results(wh, run_name="r1").count() == 1
+    assert wh.names() == ["validation_results"] or not [n for n in wh.names() if n.startswith("_")]
 
 
 def test_bucketed_hub_is_read_without_shuffle(spark, tmp_path):

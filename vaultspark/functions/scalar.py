@@ -14,12 +14,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# IPv4 octet pattern (0..255, no leading zeros) and the
-# netmask PostgreSQL prints for a single IPv4 host when an INET is cast to text.
-_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-IPV4_PATTERN = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}(/([0-9]|[12][0-9]|3[0-2]))?$"
-IPV4_HOST_MASK = "/32"
-
+from vaultspark.functions.inet import inet, inet_text, is_ipv4  # noqa: F401
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -128,31 +123,6 @@ def load_timestamp(value: dt.datetime | dt.date | str) -> Column:
 
 # --- IP addresses --------------------------------------------------------------
 
-def is_ipv4(c: Column | str) -> Column:
-    """True when the text is a dotted-quad IPv4 address (optional /mask)."""
-    return _col(c).rlike(IPV4_PATTERN)
-
-
-def inet(c: Column | str, on_invalid: str = "raise") -> Column:
-    """``x::INET`` (SC-8): keep the text, validated.  ``on_invalid`` is
-    ``"raise"`` (the load fails, as the database would) or ``"null"``."""
-    c = _col(c)
-    ok = c.isNull() | is_ipv4(c)
-    if on_invalid == "null":
-        return F.when(ok, c)
-    if on_invalid != "raise":
-        raise ValueError("on_invalid must be 'raise' or 'null'")
-    return F.when(ok, c).otherwise(
-        F.raise_error(F.concat(F.lit("invalid input syntax for type inet: "), c))
-    )
-
-
-def inet_text(c: Column | str) -> Column:
-    """Text of an INET value: a bare IPv4 host prints with ``/32`` (Q-9)."""
-    c = _col(c)
-    return F.when(c.contains("/"), c).otherwise(F.concat(c, F.lit(IPV4_HOST_MASK)))
-
-
 def _octets_sum(c: Column) -> Column:
     parts = F.split(c, r"[.]")
     total = None

@@ -9,7 +9,9 @@ whole suite lazily as Spark jobs:
 * type rules are read from the schema (no scan), INET also counts invalid text;
 * set rules aggregate over the column's distinct values (a partial
   aggregate, so a value holding a third of all rows is one row per task);
-* compound uniqueness is one grouped count (partial aggregate).
+* compound uniqueness counts 64-bit hashes of the key columns first, so the exchange
+  carries numbers instead of keys; only rows whose hash repeats are compared by
+  their columns.
 
 Each pass yields one row per rule through ``inline``; the passes are unioned.
 Nothing is collected to the driver.
@@ -18,14 +20,17 @@ Nothing is collected to the driver.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultspark.functions.scalar import is_ipv4
+from vaultspark.functions.inet import is_inet
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("run_name", T.StringType()),
@@ -99,6 +104,23 @@ def _type_ok(df: DataFrame, column: str, type_name: str) -> bool:
     return isinstance(df.schema[column].dataType, wanted)
 
 
+def repeated_keys(df: DataFrame, cols: list[str], digest: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """One row: ``_e`` rows, ``_u`` rows whose key ``cols`` occurs more than once (AG-4, DQ-5).  Keys of NULLs only
+    are not judged.
+
+    Hashes are counted first.  A key that is alone under its hash is unique; the rows of the other
+    hashes are grouped by the columns themselves, so different keys under one hash (also
+    NULLs in different places) stay apart."""
+    rows = df.select(digest(*[F.col(c) for c in cols]).alias("_h"), *cols)
+    counts = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    suspects = counts.where("_n > 1").select("_h")
+    judged = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
+    groups = rows.join(suspects, "_h", "left_semi").where(judged).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    parts = counts.select(F.col("_n").alias("_e"), F.lit(0).alias("_u")).unionByName(
+        groups.where("_n > 1").select(F.lit(0).alias("_e"), F.col("_n").alias("_u")))
+    return parts.agg(F.coalesce(F.sum("_e"), F.lit(0)).alias("_e"), F.coalesce(F.sum("_u"), F.lit(0)).alias("_u"))
+
+
 def validate(df: DataFrame, suite: str, expectations: list[dict], run_name: str | None = None,
              run_time: dt.datetime | str | None = None) -> DataFrame:
     """DQ-8..12: one result row per expectation of ``suite`` on ``df``."""
@@ -110,16 +132,12 @@ def validate(df: DataFrame, suite: str, expectations: list[dict], run_name: str
 
     scan_rows: list[Column] = []          # evaluated in the single agg pass
     other: list[DataFrame] = []           # separate grouped passes
+    value_counts: dict[str, DataFrame] = {}  # by column: the same grouping, so Spark exchanges it once
     for i, e in enumerate(expectations):
         etype, kw = e["expectation_type"], e["kwargs"]
         if etype == COMPOUND_UNIQUE:
-            # one grouped pass; rows whose key columns are all NULL are ignored
             cols = list(kw["column_list"])
-            all_null = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in cols])
-            groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-            dup = F.when((F.col("_n") > 1) & ~all_null, F.col("_n")).otherwise(F.lit(0))
-            stats = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_e"),
-                               F.coalesce(F.sum(dup), F.lit(0)).alias("_u"))
+            stats = repeated_keys(df, cols)
             row = _rule_row(i, etype, ",".join(cols), F.col("_u") == 0, F.col("_e"), null, F.col("_u"))
             other.append(stats.select(F.inline(F.array(row))))
             continue
@@ -134,7 +152,7 @@ def validate(df: DataFrame, suite: str, expectations: list[dict], run_name: str
             if not _type_ok(df, column, type_name):
                 scan_rows.append(_rule_row(i, etype, column, F.lit(False), n, missing, null))
             elif type_name.upper() == "INET":
-                u = F.count_if(c.isNotNull() & ~is_ipv4(c))
+                u = F.count_if(c.isNotNull() & ~is_inet(c))
                 scan_rows.append(_rule_row(i, etype, column, u == 0, n, missing, u))
             else:
                 scan_rows.append(_rule_row(i, etype, column, F.lit(True), n, missing, F.lit(0)))
@@ -152,14 +170,16 @@ def validate(df: DataFrame, suite: str, expectations: list[dict], run_name: str
             scan_rows.append(_rule_row(i, etype, column, u == 0, n, missing, u))
         elif etype in (IN_SET, EQUAL_SET):
             values = list(kw["value_set"])
-            # aggregate over the distinct values (NULL is one group of its own)
-            groups = df.groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
             v = F.col("_v")
             inside = v.isNotNull() & v.isin(values)
-            stats = groups.agg(F.count_if(v.isNotNull() & ~v.isin(values)).alias("_out"),
-                               F.count_if(inside).alias("_in"),
-                               F.coalesce(F.sum("_n"), F.lit(0)).alias("_e"),
-                               F.coalesce(F.sum(F.when(v.isNull(), F.col("_n"))), F.lit(0)).alias("_m"))
+            # the distinct values of a column (NULL is one group of its own), counted once for all its rules
+            if column not in value_counts:
+                value_counts[column] = df.groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+            stats = value_counts[column].agg(
+                F.count_if(v.isNotNull() & ~v.isin(values)).alias("_out"),
+                F.count_if(inside).alias("_in"),
+                F.coalesce(F.sum("_n"), F.lit(0)).alias("_e"),
+                F.coalesce(F.sum(F.when(v.isNull(), F.col("_n"))), F.lit(0)).alias("_m"))
             if etype == IN_SET:
                 u = F.col("_out")
             else:
@@ -193,9 +213,28 @@ def validate_batches(batches: list[tuple[DataFrame, str, list[dict]]], run_name:
     return reduce(DataFrame.unionByName, results)
 
 
-def store_results(wh, results: DataFrame, table: str = "validation_results") -> None:
-    """DQ-13: keep validation results -- appended to a results table."""
-    wh.append(table, results.select(*[f.name for f in RESULT_SCHEMA.fields]))
+RESULTS_TABLE, RUN_KEY = "validation_results", "run_key"
+
+
+def store_results(wh, results: DataFrame, table: str = RESULTS_TABLE) -> None:
+    """DQ-13: keep validation results, each run as a unit: a run stored again replaces its rows.
+
+    The results are written once (they are computed once) and then moved to the folder of each
+    of their runs; a batch holds a handful of run names."""
+    fields = [f.name for f in RESULT_SCHEMA.fields]
+    aside = f"_{table}_{uuid.uuid4().hex[:12]}"
+    wh.replace(aside, results.select(*fields))
+    rows = wh.read(aside, RESULT_SCHEMA)
+    for (name,) in rows.select("run_name").distinct().collect():
+        label = hashlib.sha256((name or "").encode()).hexdigest()[:32] if name is not None else "none"
+        wh.overwrite_partition(table, label, rows.where(F.col("run_name").eqNullSafe(F.lit(name))).coalesce(1), column=RUN_KEY)
+    wh.drop(aside)
+
+
+def stored_results(wh, table: str = RESULTS_TABLE, run_name: str | None = None) -> DataFrame:
+    """The kept results of all runs, or of one."""
+    rows = wh.read(table, T.StructType(RESULT_SCHEMA.fields + [T.StructField(RUN_KEY, T.StringType())])).drop(RUN_KEY)
+    return rows if run_name is None else rows.where(F.col("run_name") == run_name)
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -122,8 +122,8 @@ def partition_label_sql(col: str) -> str:
 
 def _text(spec: StageSpec, c: str) -> str:
     q = f'"{c}"'
-    if c in spec.text_forms:  # INET text of a bare host carries /32
-        return f"(case when contains({q}, '/') then {q} else {q} || '/32' end)"
+    if c in spec.text_forms:  # INET text of a bare host carries /32 or /128
+        return f"(case when contains({q}, '/') then {q} when contains({q}, ':') then {q} || '/128' else {q} || '/32' end)"
     return q
 
 

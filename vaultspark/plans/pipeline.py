@@ -263,19 +263,51 @@ def load_sats(wh: Warehouse, stg: dict[str, DataFrame], load_date: dt.datetime,
                  for n in SATS], parallel)
 
 
-def load_marts(wh: Warehouse, parallel: bool = True) -> None:
-    """MT-1..7: report, five dimensions, fact (each replaced, then read back)."""
-    report = marts.payment_report(
-        wh.read("link_payment", schemas.LINK_PAYMENT), wh.read("sat_payment", schemas.SAT_PAYMENT),
-        wh.read("hub_billing_period", schemas.hub_schema("billing_period")),
-        wh.read("hub_user", schemas.hub_schema("user")), wh.read("ods_user", schemas.ODS_USER),
-        order=True)
+REPORT_STATE = "report_state"
+STATE_YEAR = "load_year"
+STATE_SCHEMA = T.StructType([T.StructField("USER_PK", T.StringType()), T.StructField("billing_year", T.IntegerType()),
+                             T.StructField("tot", T.LongType()), T.StructField(STATE_YEAR, T.IntegerType())])
+
+
+def advance_report(wh: Warehouse, year: int) -> None:
+    """The sums per user and billing year of the payments loaded in ``year``: a filter on LOAD_DATE that skips
+    the files of other loads, and the link rows of their keys.  The delta of a year is replaced as a whole."""
+    sat = wh.read("sat_payment", schemas.SAT_PAYMENT)
+    loaded = sat.where(F.col("LOAD_DATE") == vault.load_timestamp(load_date_of(year)))
+    sums = marts.user_year_sums(wh.read("link_payment", schemas.LINK_PAYMENT), loaded,
+                                wh.read("hub_billing_period", schemas.hub_schema("billing_period")))
+    wh.overwrite_partition(REPORT_STATE, str(year), sums, column=STATE_YEAR)
+
+
+def report_sums(wh: Warehouse) -> DataFrame:
+    """The deltas of all loaded years; one that a stopped run has not written is written now."""
+    loaded = [int(n.removeprefix("sat_payment_new_")) for n in wh.names() if n.startswith("sat_payment_new_")]
+    held = set(map(int, wh.partitions(REPORT_STATE, STATE_YEAR)))
+    for year in sorted(set(loaded) - held):
+        advance_report(wh, year)
+    return wh.read(REPORT_STATE, STATE_SCHEMA).drop(STATE_YEAR)
+
+
+def load_marts(wh: Warehouse, parallel: bool = True, keep_ids: bool = False, keep_unknown: bool = False) -> None:
+    """MT-1..7: report, five dimensions, fact (each replaced, then read back).
+
+    The report is summed from the yearly deltas, not from the payments.  With ``keep_ids`` values keep
+    the ids they had in the dimensions of the last build; ``keep_unknown`` as in :func:`marts.fact`."""
+    report = marts.report_of_sums(
+        report_sums(wh), wh.read("hub_user", schemas.hub_schema("user")), wh.read("ods_user", schemas.ODS_USER), order=True)
     wh.replace("report_tmp", report)
     report = wh.read("report_tmp", schemas.REPORT)
-    in_parallel([lambda d=d: wh.replace(f"dim_{d}", marts.dimension(report, d))
-                 for d in marts.DIMENSIONS], parallel)
+
+    def one(d):
+        name = f"dim_{d}"
+        if keep_ids and wh.exists(name):  # written aside first: a table cannot be read and replaced in one job
+            wh.replace(f"_{name}", marts.dimension(report, d, wh.read(name)))
+            wh.replace(name, wh.read(f"_{name}"))
+        else:
+            wh.replace(name, marts.dimension(report, d))
+    in_parallel([lambda d=d: one(d) for d in marts.DIMENSIONS], parallel)
     dims = {d: wh.read(f"dim_{d}") for d in marts.DIMENSIONS}
-    wh.replace("fact", marts.fact(report, dims))
+    wh.replace("fact", marts.fact(report, dims, keep_unknown))
 
 
 def run_year(spark: SparkSession, wh: Warehouse, raw: dict[str, DataFrame], year: int,
@@ -288,7 +320,9 @@ def run_year(spark: SparkSession, wh: Warehouse, raw: dict[str, DataFrame], year
     stg = load_staging(wh, year, ld, parallel)
     load_hubs(wh, stg, parallel)
     load_links(wh, stg)
+    wh.drop_partitions(REPORT_STATE, [str(year)], column=STATE_YEAR)  # until the new payments are counted
     load_sats(wh, stg, ld, parallel)
+    advance_report(wh, year)
     if build_marts:
         load_marts(wh, parallel)
 
@@ -353,16 +387,35 @@ def hive_schema(src: str) -> T.StructType:
     return T.StructType(fields + [T.StructField(HIVE_PARTITION, T.IntegerType(), True)])
 
 
+TRAFFIC_MART_SCHEMA = T.StructType([
+    T.StructField("user_id", T.IntegerType()), T.StructField("device_id", T.StringType()), T.StructField("month", T.DateType()),
+    T.StructField("bytes_sent", T.LongType()), T.StructField("bytes_received", T.LongType()), T.StructField("records", T.LongType()),
+    T.StructField(HIVE_PARTITION, T.IntegerType())])
+
+
+def refresh_traffic_mart(wh: Warehouse, year: int) -> None:
+    """SK-7: regroup the traffic of one year partition and replace that part of the mart.
+
+    A partition holds one calendar year, and a month lies in one year: the groups of different
+    partitions never meet, so the mart is the union of its parts."""
+    traffic = wh.read("hive_ods_traffic", hive_schema("traffic")).where(F.col(HIVE_PARTITION) == year)
+    wh.overwrite_partition("dm_traffic", str(year), marts.traffic_mart(traffic), column=HIVE_PARTITION)
+
+
+def traffic_mart(wh: Warehouse) -> DataFrame:
+    """The traffic mart over all loaded years."""
+    return wh.read("dm_traffic", TRAFFIC_MART_SCHEMA).drop(HIVE_PARTITION)
+
+
 def run_hive_year(spark: SparkSession, wh: Warehouse, raw: dict[str, DataFrame], year: int,
                   parallel: bool = True) -> None:
     """The Hive load of one year: a static ``year=Y`` partition overwrite per
-    feed, then -- after traffic -- the traffic mart rebuilt from the whole table."""
+    feed, then -- after traffic -- the year's part of the traffic mart."""
     def one(src):
         name = f"hive_ods_{src}"
         wh.overwrite_partition(name, str(year), ods.HIVE_LOADERS[src](raw[src], year), HIVE_PARTITION)
     in_parallel([lambda s=s: one(s) for s in ODS_SOURCES], parallel)
-    traffic = wh.read("hive_ods_traffic", hive_schema("traffic"))
-    wh.replace("dm_traffic", marts.traffic_mart(traffic))
+    refresh_traffic_mart(wh, year)
 
 
 def partition_labels(df: DataFrame, column: str) -> DataFrame:

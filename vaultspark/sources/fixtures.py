@@ -87,6 +87,60 @@ def stg_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class QuirkDir(str):
+    """An input folder read as feeds with everything the plain ones lack (see ``QUIRK_EXPRESSIONS``)."""
+
+
+# Spark and DuckDB both take these expressions.  Rows are chosen by the remainders of their keys:
+# payments without account (NULL, blanks), of users whom the MDM feed does not know, dated before 2000, in
+# 2000-2012 and after 2030; phones that change and come back; an account or document type written two ways;
+# users first seen in a later year; traffic of two years and of IPv6 devices.
+QUIRK_EXPRESSIONS = {
+    "payment": (
+        "case when o_orderkey % 13 = 0 then cast(o_custkey + 10000000 as int) else cast(o_custkey as int) end user_id",
+        "case when o_orderkey % 29 = 0 then ' mir' when o_orderkey % 31 = 0 and {year} > 1996 then 'CASH' "
+        "when o_orderkey % 3 = 0 then 'MASTER' when o_orderkey % 3 = 1 then 'MIR' else 'VISA' end pay_doc_type",
+        "cast(o_orderkey as int) pay_doc_num",
+        "case when o_orderkey % 11 = 0 then cast(null as {text}) when o_orderkey % 11 = 1 then '  ' "
+        "when o_orderkey % 11 = 2 then concat(' fl-', cast(o_custkey as {text})) else concat('FL-', cast(o_custkey as {text})) end account",
+        "cast(70000000000 + o_custkey * 1000 + {month} % 2 as decimal(11,0)) phone",
+        "{period} billing_period", "{day} pay_date", "o_totalprice sum",
+    ),
+}
+# Years added to an order's date; orders span seven years.
+QUIRK_SHIFT = "case when o_orderkey % 17 = 0 then 0 when o_orderkey % 17 = 1 then 10 when o_orderkey % 17 = 2 then 40 else 18 end"
+
+
+def quirk_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments with gaps, strangers, odd spellings and odd years."""
+    day = f"cast(add_months(o_orderdate, 12 * {QUIRK_SHIFT}) as date)"
+    words = {"text": "string", "day": day, "period": f"date_format({day}, 'yyyy-MM')",
+             "year": "year(o_orderdate)", "month": "month(o_orderdate)"}
+    return table(spark, sf_dir, "orders").selectExpr(*[e.format(**words) for e in QUIRK_EXPRESSIONS["payment"]])
+
+
+def quirk_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The MDM snapshot of a later year: the VIP mark and the registration of some users have changed."""
+    return mdm_user(spark, sf_dir).selectExpr(
+        "id", "legal_type", "district",
+        "case when id % 7 = 0 then registered_at + interval 1 day else registered_at end registered_at",
+        "billing_mode", "case when id % 5 = 0 then not is_vip else is_vip end is_vip")
+
+
+def quirk_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic of 2013 and 2014, every fifth record from an IPv6 device in one of several spellings."""
+    v6 = ("case event_id % 4 when 0 then concat('2001:DB8::', cast(user_id % 10 as string)) "
+          "when 1 then concat('2001:db8:0:0:0:0:0:', cast(user_id % 10 as string)) "
+          "when 2 then concat('::ffff:10.0.', cast(user_id % 256 as string), '.7') else 'fe80::1/64' end")
+    return stg_traffic(spark, sf_dir).withColumnRenamed("bytes_received", "event_id").selectExpr(
+        "user_id", "timestamp - (event_id % 2) * 31536000000 timestamp", "device_id",
+        f"case when event_id % 5 = 0 then {v6} else device_ip_addr end device_ip_addr", "bytes_sent", "event_id bytes_received")
+
+
+def quirk_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {**raw_sources(spark, sf_dir), "payment": quirk_payment(spark, sf_dir), "traffic": quirk_traffic(spark, sf_dir)}
+
+
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All five feeds, keyed like the reference's source names."""
     return {
@@ -129,3 +183,24 @@ SQL = {
         "cast(value * 100 as int) bytes_sent, cast(event_id as int) bytes_received from events"
     ),
 }
+
+
+def _quirk_sql() -> dict[str, str]:
+    day = f"cast(o_orderdate + to_years(cast({QUIRK_SHIFT} as integer)) as date)"
+    words = {"text": "varchar", "day": day, "period": f"strftime({day}, '%Y-%m')",
+             "year": "year(o_orderdate)", "month": "month(o_orderdate)"}
+    v6 = ("case event_id % 4 when 0 then concat('2001:DB8::', cast(user_id % 10 as varchar)) "
+          "when 1 then concat('2001:db8:0:0:0:0:0:', cast(user_id % 10 as varchar)) "
+          "when 2 then concat('::ffff:10.0.', cast(user_id % 256 as varchar), '.7') else 'fe80::1/64' end")
+    return {
+        "payment": f"select {', '.join(e.format(**words) for e in QUIRK_EXPRESSIONS['payment'])} from orders",
+        "user": ("select id, legal_type, district, case when id % 7 = 0 then registered_at + interval 1 day else registered_at end "
+                 "registered_at, billing_mode, case when id % 5 = 0 then not is_vip else is_vip end is_vip "
+                 f"from ({SQL['user']}) m"),
+        "traffic": ('select user_id, "timestamp" - (bytes_received % 2) * 31536000000 as "timestamp", device_id, '
+                    f"case when bytes_received % 5 = 0 then {v6.replace('event_id', 'bytes_received')} else device_ip_addr end device_ip_addr, "
+                    f"bytes_sent, bytes_received from ({SQL['traffic']}) e"),
+    }
+
+
+QUIRK_SQL = _quirk_sql()

@@ -159,6 +159,14 @@ class Warehouse:
         fs, hp = self._hadoop(f"{self.path(name)}/{COMMITTED}")
         return fs.exists(hp)
 
+    def names(self) -> list[str]:
+        """Names of the tables whose first write is committed and that are not bucketed."""
+        fs, hp = self._hadoop(self.root)
+        if not fs.exists(hp):
+            return []
+        found = [f.getPath().getName() for f in fs.listStatus(hp) if f.isDirectory()]
+        return sorted(n for n in found if n not in self.buckets and self.exists(n))
+
     def partitions(self, name: str, column: str) -> list[str]:
         """Labels of the committed partition folders written by ``overwrite_partition``."""
         fs, hp = self._hadoop(self.path(name))
@@ -234,6 +242,11 @@ class Warehouse:
             return
         df.write.mode("overwrite").parquet(self.path(name))
 
+    def drop(self, name: str) -> None:
+        """Remove a table that is not bucketed."""
+        fs, hp = self._hadoop(self.path(name))
+        fs.delete(hp, True)
+
     # SR-3 style: write once, skipped if the target exists
     def write_once(self, name: str, df: DataFrame) -> bool:
         if self.exists(name):
