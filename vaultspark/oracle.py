@@ -244,13 +244,13 @@ def sat_rerun(name: str, y1: int, y2: int) -> str:
 
 # --- marts ---------------------------------------------------------------------------------
 
-def report_sql(years) -> str:
-    """Report over the vault after loading ``years``.  Payment keys are local to
-    one year (the billing period is part of the key), so the loaded link and
-    satellite equal one pass over all years' staging."""
+def report_sql(years, link: str | None = None, sat: str | None = None) -> str:
+    """Report over the vault after loading ``years``.  ``link`` and ``sat`` name the loaded tables.  Without
+    them one pass over all years' staging stands for both: payment keys are local to one
+    year there (the billing period is part of the key)."""
     pay = staged_all_years("payment", years)
-    link = link_sql(pay)
-    sat = f"select distinct PAYMENT_PK, PAY_DOC_HASHDIFF, pay_doc_num, pay_date, sum, EFFECTIVE_FROM, LOAD_DATE, RECORD_SOURCE from ({pay}) p"
+    link = link or link_sql(pay)
+    sat = sat or f"select distinct PAYMENT_PK, PAY_DOC_HASHDIFF, pay_doc_num, pay_date, sum, EFFECTIVE_FROM, LOAD_DATE, RECORD_SOURCE from ({pay}) p"
     bp = " union all ".join(f"select BILLING_PERIOD_PK, BILLING_PERIOD_KEY from ({staged(s, y)}) x"
                             for y in years for s in ("payment", "billing"))
     hbp = (f"select BILLING_PERIOD_PK, min(BILLING_PERIOD_KEY) BILLING_PERIOD_KEY from ({bp}) b "

@@ -40,6 +40,8 @@ def ld(year: int) -> dt.datetime:
 # --- building blocks -------------------------------------------------------------------
 
 def raw(spark: SparkSession, sf: str, src: str) -> DataFrame:
+    if isinstance(sf, fixtures.QuirkDir) and src in ("payment", "traffic"):
+        return {"payment": fixtures.quirk_payment, "traffic": fixtures.quirk_traffic}[src](spark, sf)
     return {"billing": fixtures.stg_billing, "issue": fixtures.stg_issue,
             "payment": fixtures.stg_payment, "traffic": fixtures.stg_traffic,
             "user": fixtures.mdm_user}[src](spark, sf)
@@ -74,16 +76,16 @@ def link(spark, sf, year: int, target: DataFrame | None = None) -> DataFrame:
     return vault.link_payment_rows(staged(spark, sf, "payment", year), target)
 
 
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, str, str], Warehouse] = {}
 
 
 def loaded_vault(spark: SparkSession, sf: str) -> Warehouse:
     """The warehouse after the yearly pipeline over all years (built once)."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, repr(type(sf)), str(sf))
     wh = _WAREHOUSES.get(key)
     if wh is None:
         wh = Warehouse.for_vault(spark, shared_root(spark, "vault"))
-        feeds = fixtures.raw_sources(spark, sf)
+        feeds = (fixtures.quirk_sources if isinstance(sf, fixtures.QuirkDir) else fixtures.raw_sources)(spark, sf)
         pipeline.run_years(spark, wh, feeds, YEARS)
         _WAREHOUSES[key] = wh
     return wh
@@ -343,26 +345,40 @@ def _run_year_counts_sql(year: int) -> str:
         f"select '{n}' table_name, cast(count(*) as bigint) row_count from ({s}) x" for n, s in tables.items())
 
 
+def chain(ctes: list[str], prefix: str, years: list[int], year_sql) -> str:
+    """Add one CTE per year for a table, each year's load running against the table of the year before; its last name."""
+    prev = None
+    for n, y in enumerate(years):
+        name = f"{prefix}_{n}_{y}"
+        new = year_sql(y, f"select * from {prev}" if prev else None)
+        body = new if prev is None else f"select * from {prev} union all ({new})"
+        ctes.append(f"{name} as materialized ({body})")
+        prev = name
+    return prev
+
+
+def vault_loads() -> dict[str, Callable[[int, str | None], str]]:
+    """The reference-style load of each vault table: (year, table before) -> rows."""
+    loads = {f"hub_{h}": (lambda y, t, h=h: O.hub_sql(h, y, t)) for h in pipeline.HUBS}
+    loads["link_payment"] = lambda y, t: O.link_sql(O.staged("payment", y), t)
+    for name in ("sat_user", "sat_payment", "sat_mdm"):
+        loads[name] = lambda y, t, n=name: O.sat_year(n, y, t)
+    return loads
+
+
+def loaded_table_sql(table: str, years: list[int]) -> str:
+    """A vault table after loading ``years`` in order."""
+    ctes: list[str] = []
+    last = chain(ctes, table, years, vault_loads()[table])
+    return f"with {', '.join(ctes)} select * from {last}"
+
+
 def _run_years_counts_sql(years: list[int]) -> str:
     """Row counts after loading ``years`` in order: every table is a chain of
     materialised CTEs, one per year, each year's load (reference-style SQL)
     running against the previous year's table."""
     ctes: list[str] = []
-
-    def chain(prefix: str, year_sql) -> str:
-        prev = None
-        for y in years:
-            name = f"{prefix}_{y}"
-            new = year_sql(y, f"select * from {prev}" if prev else None)
-            body = new if prev is None else f"select * from {prev} union all ({new})"
-            ctes.append(f"{name} as materialized ({body})")
-            prev = name
-        return prev
-
-    tables = {f"hub_{h}": chain(f"hub_{h}", lambda y, t, h=h: O.hub_sql(h, y, t)) for h in pipeline.HUBS}
-    tables["link_payment"] = chain("link_payment", lambda y, t: O.link_sql(O.staged("payment", y), t))
-    for name in ("sat_user", "sat_payment", "sat_mdm"):
-        tables[name] = chain(name, lambda y, t, n=name: O.sat_year(n, y, t))
+    tables = {name: chain(ctes, name, years, loads) for name, loads in vault_loads().items()}
     tables["report_tmp"] = "r"
     for d in marts.DIMENSIONS:
         tables[f"dim_{d}"] = f"d_{d}"

@@ -94,11 +94,12 @@ class QuirkDir(str):
 # Spark and DuckDB both take these expressions.  Rows are chosen by the remainders of their keys:
 # payments without account (NULL, blanks), of users whom the MDM feed does not know, dated before 2000, in
 # 2000-2012 and after 2030; phones that change and come back; an account or document type written two ways;
-# users first seen in a later year; traffic of two years and of IPv6 devices.
+# users first seen in a later year; payments for January of their own or the year before, so that payment keys
+# come back in the next year; traffic of two years and of IPv6 devices.
 QUIRK_EXPRESSIONS = {
     "payment": (
         "case when o_orderkey % 13 = 0 then cast(o_custkey + 10000000 as int) else cast(o_custkey as int) end user_id",
-        "case when o_orderkey % 29 = 0 then ' mir' when o_orderkey % 31 = 0 and {year} > 1996 then 'CASH' "
+        "case when o_orderkey % 29 = 0 then ' mir' when o_orderkey % 31 = 0 and {year} > 1995 then 'CASH' "
         "when o_orderkey % 3 = 0 then 'MASTER' when o_orderkey % 3 = 1 then 'MIR' else 'VISA' end pay_doc_type",
         "cast(o_orderkey as int) pay_doc_num",
         "case when o_orderkey % 11 = 0 then cast(null as {text}) when o_orderkey % 11 = 1 then '  ' "
@@ -114,7 +115,9 @@ QUIRK_SHIFT = "case when o_orderkey % 17 = 0 then 0 when o_orderkey % 17 = 1 the
 def quirk_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments with gaps, strangers, odd spellings and odd years."""
     day = f"cast(add_months(o_orderdate, 12 * {QUIRK_SHIFT}) as date)"
-    words = {"text": "string", "day": day, "period": f"date_format({day}, 'yyyy-MM')",
+    period = (f"case when o_orderkey % 5 < 2 then concat(lpad(cast(year({day}) - o_orderkey % 5 as string), 4, '0'), '-01') "
+              f"else date_format({day}, 'yyyy-MM') end")
+    words = {"text": "string", "day": day, "period": period,
              "year": "year(o_orderdate)", "month": "month(o_orderdate)"}
     return table(spark, sf_dir, "orders").selectExpr(*[e.format(**words) for e in QUIRK_EXPRESSIONS["payment"]])
 
@@ -187,11 +190,13 @@ SQL = {
 
 def _quirk_sql() -> dict[str, str]:
     day = f"cast(o_orderdate + to_years(cast({QUIRK_SHIFT} as integer)) as date)"
-    words = {"text": "varchar", "day": day, "period": f"strftime({day}, '%Y-%m')",
+    period = (f"case when o_orderkey % 5 < 2 then concat(lpad(cast(year({day}) - o_orderkey % 5 as varchar), 4, '0'), '-01') "
+              f"else strftime({day}, '%Y-%m') end")
+    words = {"text": "varchar", "day": day, "period": period,
              "year": "year(o_orderdate)", "month": "month(o_orderdate)"}
-    v6 = ("case event_id % 4 when 0 then concat('2001:DB8::', cast(user_id % 10 as varchar)) "
-          "when 1 then concat('2001:db8:0:0:0:0:0:', cast(user_id % 10 as varchar)) "
-          "when 2 then concat('::ffff:10.0.', cast(user_id % 256 as varchar), '.7') else 'fe80::1/64' end")
+    # what each generated address prints as, stated by its form
+    v6 = ("case event_id % 4 when 2 then concat('::ffff:10.0.', cast(user_id % 256 as varchar), '.7') when 3 then 'fe80::1/64' "
+          "else concat('2001:db8::', case when user_id % 10 > 0 then cast(user_id % 10 as varchar) else '' end) end")
     return {
         "payment": f"select {', '.join(e.format(**words) for e in QUIRK_EXPRESSIONS['payment'])} from orders",
         "user": ("select id, legal_type, district, case when id % 7 = 0 then registered_at + interval 1 day else registered_at end "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -45,6 +46,16 @@ def batch_from_query(spark: SparkSession, query: str) -> DataFrame:
     return spark.sql(query)
 
 
-def limit_batch(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """ST-3: optional row limit of a validation batch (off by default)."""
-    return df if limit is None else df.limit(limit)
+def limit_batch(df: DataFrame, limit: int | None = None, order_by: list[str] | None = None) -> DataFrame:
+    """ST-3: optional row limit of a validation batch (off by default).  Which rows stay is defined only with
+    ``order_by`` (NULLs last): then each task keeps its own first rows and only those meet."""
+    if limit is None:
+        return df
+    if order_by:
+        df = df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    return df.limit(limit)
+
+
+def batch_head(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
+    """ST-4: the first rows of a batch, ordered by all columns unless told otherwise."""
+    return limit_batch(df, n, order_by or df.columns)
