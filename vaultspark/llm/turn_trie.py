@@ -361,7 +361,8 @@ def _level(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, bool]:
 def _digests(spark: SparkSession, members: DataFrame, keys: DataFrame) -> DataFrame:
     """(kid, ends) of keys with several members: SHA-256 of their ids in ascending order, joined by commas."""
     several = members.join(keys.where("n > 1").select("kid"), "kid", "left_semi")
-    parts = max(1, -(-several.count() // 500_000))
+    count = keys.where("n > 1").agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-count // 500_000), min(spark.sparkContext.defaultParallelism, count // 1000))
 
     def chunks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_kid, held = None, []
@@ -408,7 +409,7 @@ def _digests(spark: SparkSession, members: DataFrame, keys: DataFrame) -> DataFr
 
     joined = (several.repartitionByRange(parts, "kid", "conv_id").sortWithinPartitions("kid", "conv_id")
               .mapInArrow(chunks, "kid string, low long, ids string"))
-    return joined.repartition("kid").sortWithinPartitions("kid", "low").mapInArrow(hashed, "kid string, ends binary")
+    return joined.repartition(parts, "kid").sortWithinPartitions("kid", "low").mapInArrow(hashed, "kid string, ends binary")
 
 
 # -- the operator -------------------------------------------------------------
