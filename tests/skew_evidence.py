@@ -1,5 +1,5 @@
-"""Measure how a key holding a third of all rows is spread over tasks: the
-plain ``lag over (partition by key)`` vs :func:`vault.collapse_repeats`.
+"""Measure how a key, or a (key, date), holding a third of all rows is spread over
+tasks: the plain ``lag over (partition by key)`` vs :func:`vault.collapse_repeats`.
 
 Reads Spark's event log (written to a scratch folder; the UI stays off) and
 prints, for the stage that runs each window, the largest and the mean number
@@ -43,6 +43,9 @@ def main() -> None:
     plain.write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("bucketed", "collapse_repeats")
     vault.collapse_repeats(df, "k", "v", ["d", "t"]).write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobGroup("hot-date", "collapse_repeats, a third of all rows on one (key, date)")
+    one_date = df.withColumn("d", F.when(F.col("k") == "hot", F.lit(7)).otherwise(F.col("d")))
+    vault.collapse_repeats(one_date, "k", "v", ["d", "t"]).write.format("noop").mode("overwrite").save()
     hub_in = df.select(F.col("k").alias("PK"), F.col("t").cast("string").alias("KEY"),
                        F.lit("2013-01-01 00:00:00").cast("timestamp_ntz").alias("LOAD_DATE"),
                        F.lit("SRC").alias("RECORD_SOURCE"))
