@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from vaultspark.functions.scalar import epoch_millis_of_year, epoch_millis_to_ts, year_range
 from vaultspark.operators import marts, ods, staging, vault
 from vaultspark.sources import schemas
-from vaultspark.sources.sinks import PARTITION_COLUMN, Warehouse, partition_label
+from vaultspark.sources.sinks import PARTITION_COLUMN, Journal, Warehouse, partition_label
 
 ODS_SOURCES = ("billing", "issue", "payment", "traffic")
 STAGED = ("billing", "issue", "payment", "traffic")
@@ -142,6 +142,11 @@ def load_staging(wh: Warehouse, year: int, load_date: dt.datetime,
     tasks.append(lambda: wh.replace(
         "mv_mdm", staging.stage(wh.read("ods_user", schemas.ODS_USER), staging.MDM, load_date)))
     in_parallel(tasks, parallel)
+    return staged_tables(wh, year)
+
+
+def staged_tables(wh: Warehouse, year: int) -> dict[str, DataFrame]:
+    """The staging tables of a year, read back."""
     out = {src: wh.read(f"mv_{src}_{year}") for src in STAGED}
     out["mdm"] = wh.read("mv_mdm")
     return out
@@ -233,7 +238,7 @@ def advance_states(wh: Warehouse, name: str, sat: DataFrame, year: int) -> None:
 
 
 def load_sat(wh: Warehouse, name: str, staging_df: DataFrame, load_date: dt.datetime,
-             incremental: bool = True) -> None:
+             incremental: bool = True, journal: Journal | None = None) -> None:
     """One satellite load.
 
     The rows to insert are written once (``<sat>_new_<year>``) and appended from there,
@@ -241,10 +246,20 @@ def load_sat(wh: Warehouse, name: str, staging_df: DataFrame, load_date: dt.date
     latest states (:func:`known_states`) instead of the whole history, cut to the keys
     of the batch in either case, and the year adds its delta (:func:`advance_states`).  A
     rerun of a loaded year drops that year's and later versions first: they rest on
-    what it changes."""
+    what it changes.
+
+    In an atomic warehouse the load's rows are a part of their own, ``<year>.<n>`` for its n-th load.  A
+    load that is repeated after it was stopped (``journal`` has noted its part) neither
+    compares with that part nor adds a second one."""
     schema, loader, _, pk, hd = SATS[name]
     year = load_date.year
-    sat = _read_or_empty(wh, name, schema)
+    wh.create_if_missing(name, schema)
+    part = None
+    if wh.atomic:
+        def fresh():
+            return f"{year}.{sum(p.startswith(f'{year}.') for p in wh.parts(name)) + 1}"
+        part = fresh() if journal is None else journal.note(f"{year}-{name}-part", fresh)
+    sat = wh.read(name, schema, part) if part else wh.read(name, schema)
     states = sat
     if incremental:
         for table in (f"{name}_latest", f"{name}_base"):
@@ -252,14 +267,14 @@ def load_sat(wh: Warehouse, name: str, staging_df: DataFrame, load_date: dt.date
         states, _ = known_states(wh, name, sat, year)
     new_name = f"{name}_new_{year}"
     wh.replace(new_name, loader(staging_df, states, as_of=load_date))
-    wh.append(name, wh.read(new_name, schema), cluster_by=[pk, hd])
+    wh.append(name, wh.read(new_name, schema), cluster_by=[pk, hd], part=part)
     if incremental:
         advance_states(wh, name, wh.read(name, schema), year)
 
 
 def load_sats(wh: Warehouse, stg: dict[str, DataFrame], load_date: dt.datetime,
-              parallel: bool = True, incremental: bool = True) -> None:
-    in_parallel([lambda n=n: load_sat(wh, n, stg[SATS[n][2]], load_date, incremental)
+              parallel: bool = True, incremental: bool = True, journal: Journal | None = None) -> None:
+    in_parallel([lambda n=n: load_sat(wh, n, stg[SATS[n][2]], load_date, incremental, journal)
                  for n in SATS], parallel)
 
 
@@ -311,34 +326,53 @@ def load_marts(wh: Warehouse, parallel: bool = True, keep_ids: bool = False, kee
 
 
 def run_year(spark: SparkSession, wh: Warehouse, raw: dict[str, DataFrame], year: int,
-             build_marts: bool = True, parallel: bool = True, ods_loaded: bool = False) -> None:
+             build_marts: bool = True, parallel: bool = True, ods_loaded: bool = False,
+             journal: Journal | None = None) -> None:
     """PL-1: ODS -> staging -> hubs -> link -> satellites (-> marts); each layer
-    complete before the next, the loads inside a layer side by side."""
+    complete before the next, the loads inside a layer side by side.  A ``journal`` notes
+    the finished layers and skips those that are."""
+    def step(name, action):
+        if journal is None:
+            action()
+        else:
+            journal.step(f"{year}-{name}", action)
     ld = load_date_of(year)
     if not ods_loaded:
-        load_ods(wh, raw, year, parallel)
-    stg = load_staging(wh, year, ld, parallel)
-    load_hubs(wh, stg, parallel)
-    load_links(wh, stg)
-    wh.drop_partitions(REPORT_STATE, [str(year)], column=STATE_YEAR)  # until the new payments are counted
-    load_sats(wh, stg, ld, parallel)
-    advance_report(wh, year)
+        step("ods", lambda: load_ods(wh, raw, year, parallel))
+    step("staging", lambda: load_staging(wh, year, ld, parallel))
+    stg = staged_tables(wh, year)
+    step("hubs", lambda: load_hubs(wh, stg, parallel))
+    step("links", lambda: load_links(wh, stg))
+    step("uncounted", lambda: wh.drop_partitions(REPORT_STATE, [str(year)], column=STATE_YEAR))  # until the new payments are
+    step("sats", lambda: load_sats(wh, stg, ld, parallel, journal=journal))
+    step("report", lambda: advance_report(wh, year))
     if build_marts:
-        load_marts(wh, parallel)
+        step("marts", lambda: load_marts(wh, parallel))
 
 
 def run_years(spark: SparkSession, wh: Warehouse, raw: dict[str, DataFrame], years,
-              parallel: bool = True, backfill_ods: bool = True) -> None:
+              parallel: bool = True, backfill_ods: bool = True, run: str | None = None) -> None:
     """PL-2: years strictly in order, one at a time; marts only after the newest.
     With ``backfill_ods`` the ODS of the whole range is loaded in one pass first
-    (same partitions as the yearly reloads); the vault years then run in order."""
+    (same partitions as the yearly reloads); the vault years then run in order.
+
+    A backfill with a name (``run``) keeps a journal: called again after it was stopped it goes on with the
+    first unfinished layer, and in an atomic warehouse ends with the tables of a run that was not
+    stopped.  The journal goes when the run is finished."""
     years = sorted(set(years))
-    if backfill_ods and len(years) > 1:
+    journal = Journal(wh, run) if run else None
+    whole = backfill_ods and len(years) > 1
+    if whole and journal is None:
         load_ods_backfill(wh, raw, years, parallel)
+    elif whole:
+        journal.step("ods", lambda: load_ods_backfill(wh, raw, years, parallel))
     for y in years:
-        run_year(spark, wh, raw, y, build_marts=False, parallel=parallel,
-                 ods_loaded=backfill_ods and len(years) > 1)
+        run_year(spark, wh, raw, y, build_marts=False, parallel=parallel, ods_loaded=whole, journal=journal)
     load_marts(wh, parallel)
+    if journal is not None:
+        journal.close()
+        if wh.atomic:
+            wh.vacuum()
 
 
 def table_counts(spark: SparkSession, wh: Warehouse, names: list[str]) -> DataFrame:
