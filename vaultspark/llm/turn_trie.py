@@ -14,8 +14,9 @@ of the nodes on them.  These paths are ranged and inserted again, in as many lev
 takes until one bounded range holds all: each level has two rows for a whole range of the
 level below.
 
-Digests of the members that end at a node are hashed from sorted ids that were joined
-into chunks in parallel: a hot group streams through one hash as few, large rows.
+Digests of the members that end at a node are hashed in an aggregate while they are few.
+A larger group's ids are sorted and joined into chunks in parallel, and stream through one
+hash as few, large rows.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from vaultspark.llm.common import stored
 WIDTH = 16
 #: Bytes of keys in a range; a small table is cut down to ``LEAST_BYTES`` while cores are idle.
 RANGE_BYTES, LEAST_BYTES = 4 << 20, 64 << 10
-#: Member ids joined into one row before a digest.
+#: Members whose ids one aggregate may hold; a larger group is hashed from sorted chunks of so many ids.
 CHUNK_IDS = 8192
 NO_CONV = np.iinfo(np.int64).max
 EMPTY = hashlib.sha256(b"").digest()
@@ -354,14 +355,20 @@ def _level(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, bool]:
                              [np.asarray(r.words, "<i8").tobytes() for r in paths], [r.part[0].astype("<i8").tobytes() for r in paths],
                              [b"".join(d or bytes(32) for d in r.part[1]) for r in paths]])
 
-    ranged = df.repartition(1) if whole else df.repartitionByRange(ranges, "key")
+    ranged = df.coalesce(1) if whole else df.repartitionByRange(ranges, "key")
     return stored(spark, ranged.mapInArrow(run, SCHEMA), "trie-nodes"), whole
 
 
 def _digests(spark: SparkSession, members: DataFrame, keys: DataFrame) -> DataFrame:
     """(kid, ends) of keys with several members: SHA-256 of their ids in ascending order, joined by commas."""
-    several = members.join(keys.where("n > 1").select("kid"), "kid", "left_semi")
-    count = keys.where("n > 1").agg(F.sum("n")).first()[0] or 0
+    few = members.join(keys.where(f"n between 2 and {CHUNK_IDS}").select("kid"), "kid", "left_semi")
+    ids = F.transform(F.sort_array(F.collect_list("conv_id")), lambda c: c.cast("string"))
+    few = few.groupBy("kid").agg(F.unhex(F.sha2(F.array_join(ids, ",").cast("binary"), 256)).alias("ends"))
+    large = keys.where(F.col("n") > CHUNK_IDS)
+    count = large.agg(F.sum("n")).first()[0] or 0
+    if not count:
+        return few
+    several = members.join(large.select("kid"), "kid", "left_semi")
     parts = max(1, -(-count // 500_000), min(spark.sparkContext.defaultParallelism, count // 1000))
 
     def chunks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,7 +416,8 @@ def _digests(spark: SparkSession, members: DataFrame, keys: DataFrame) -> DataFr
 
     joined = (several.repartitionByRange(parts, "kid", "conv_id").sortWithinPartitions("kid", "conv_id")
               .mapInArrow(chunks, "kid string, low long, ids string"))
-    return joined.repartition(parts, "kid").sortWithinPartitions("kid", "low").mapInArrow(hashed, "kid string, ends binary")
+    return few.unionByName(
+        joined.repartition(parts, "kid").sortWithinPartitions("kid", "low").mapInArrow(hashed, "kid string, ends binary"))
 
 
 # -- the operator -------------------------------------------------------------
