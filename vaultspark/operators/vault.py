@@ -108,9 +108,9 @@ def new_link_rows(staging: DataFrame, pk: str, fks: list[str], link: DataFrame |
 # --- satellites (DV-15..17) -----------------------------------------------------------------
 
 #: A (key, first order value) with more than one of this many shares of all rows is cut into pieces of about that size.
-SHARES_PER_PARTITION = 32
+SHARES_PER_PARTITION = 64
 #: No segment of fewer rows is cut.
-LEAST_PIECE = 4096
+LEAST_PIECE = 1024
 #: Quantiles of the tie-breaker a cut is chosen from.
 QUANTILES = 2048
 
@@ -154,6 +154,8 @@ def _cuts(df: DataFrame, key: str, order_by: list[str]) -> DataFrame | None:
     if total <= piece:
         return None
     sizes = df.groupBy(F.col(key).alias("_ck"), F.col(first).alias("_co")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > piece)
+    if sizes.isEmpty():
+        return None
     large = df.join(F.broadcast(sizes), F.col(key).eqNullSafe(F.col("_ck")) & F.col(first).eqNullSafe(F.col("_co")))
     steps = [i / QUANTILES for i in range(1, QUANTILES)]
     found = large.groupBy("_ck", "_co").agg(F.percentile_approx(number, steps, QUANTILES * 4).alias("_q"), F.max("_n").alias("_n"))

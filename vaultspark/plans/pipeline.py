@@ -190,7 +190,7 @@ def _chain(wh: Warehouse, name: str, before: int) -> tuple[DataFrame | None, int
     """(states, last version, base version, open deltas) of the chain of versions before a year.
 
     ``<sat>_base`` holds the latest states of every key as of its version, ``<sat>_latest`` one delta
-    for each later version: the latest states of the keys loaded since the version before it."""
+    for each later version: the states loaded since the version before it."""
     _, _, _, pk, hd = SATS[name]
     schema = _latest_schema(pk, hd)
     base = max((v for v in _versions(wh, f"{name}_base", schema) if v < before), default=None)
@@ -226,7 +226,8 @@ def advance_states(wh: Warehouse, name: str, sat: DataFrame, year: int) -> None:
     tail = vault.history_as_of(sat, load_date_of(year))
     if last is not None:
         tail = tail.where(F.col("LOAD_DATE") > vault.load_timestamp(load_date_of(last)))
-    delta = vault.latest_states(tail, pk, hd, with_load_date=True)
+    # all states of the tail: it is one load but after a crash, and the chain is reduced when it is read
+    delta = tail.where(F.col(pk).isNotNull() & F.col(hd).isNotNull()).select(pk, hd, "LOAD_DATE").distinct()
     wh.overwrite_partition(f"{name}_latest", str(year), delta, column=VERSION)
     states, _, base, deltas = _chain(wh, name, year + 1)
     if len(deltas) > OPEN_DELTAS:
@@ -295,11 +296,11 @@ def advance_report(wh: Warehouse, year: int) -> None:
 
 
 def report_sums(wh: Warehouse) -> DataFrame:
-    """The deltas of all loaded years; one that a stopped run has not written is written now."""
+    """The deltas of all loaded years; those that are missing since their year was loaded are written now."""
     loaded = [int(n.removeprefix("sat_payment_new_")) for n in wh.names() if n.startswith("sat_payment_new_")]
     held = set(map(int, wh.partitions(REPORT_STATE, STATE_YEAR)))
-    for year in sorted(set(loaded) - held):
-        advance_report(wh, year)
+    missing = sorted(set(loaded) - held)
+    in_parallel([lambda y=y: advance_report(wh, y) for y in missing], parallel=not wh.atomic)
     return wh.read(REPORT_STATE, STATE_SCHEMA).drop(STATE_YEAR)
 
 
@@ -343,9 +344,8 @@ def run_year(spark: SparkSession, wh: Warehouse, raw: dict[str, DataFrame], year
     stg = staged_tables(wh, year)
     step("hubs", lambda: load_hubs(wh, stg, parallel))
     step("links", lambda: load_links(wh, stg))
-    step("uncounted", lambda: wh.drop_partitions(REPORT_STATE, [str(year)], column=STATE_YEAR))  # until the new payments are
+    step("uncounted", lambda: wh.drop_partitions(REPORT_STATE, [str(year)], column=STATE_YEAR))  # until the next marts
     step("sats", lambda: load_sats(wh, stg, ld, parallel, journal=journal))
-    step("report", lambda: advance_report(wh, year))
     if build_marts:
         step("marts", lambda: load_marts(wh, parallel))
 
