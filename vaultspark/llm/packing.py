@@ -13,7 +13,9 @@ Scale: the driver holds one histogram and the combinations' counts (bounded by
 the window, not by the input).  Pieces of one length are numbered in salted
 buckets with prefixed totals, and a number finds its combination, repeat and
 offset by binary search in those counts; the leftover stream is a prefix sum over
-buckets in the same way.  No task holds a length, whatever its share.
+buckets in the same way.  No task holds a length, whatever its share.  All this is
+done on rows without token ids; ids are written once with the pieces and meet their
+places in one join by piece number.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,14 +64,14 @@ class Encoder:
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
            vocabulary: str = VOCABULARY, keep_ids: bool = False) -> DataFrame:
-    """(doc_id, row_key, start, length, ids_crc32, doc_tokens, ids): the windows and the
+    """(piece, doc_id, row_key, start, length, ids_crc32, doc_tokens, ids): the windows and the
     residual of each document, its closing id included.  ``ids`` (little-endian,
     2 bytes each while they fit, else 4) is kept for residuals, which may be cut
-    later, and for windows if ``keep_ids``.  ``row_key`` tells equal ids apart."""
+    later, and for windows if ``keep_ids``.  ``row_key`` tells equal ids apart, ``piece`` (task and place) all rows."""
     src = distinct_names(docs, id_col, text_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder, at_piece = Encoder(vocabulary), TaskContext.get().partitionId() << 40
         for b in small_batches(it, "text", 4 << 20):
             doc, key, start, length, crc, total, kept = [], [], [], [], [], [], []
             names = b.column("doc_id").to_pylist()
@@ -84,11 +87,13 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
                     crc.append(zlib.crc32(part.tobytes()))
                     total.append(len(ids))
                     kept.append(pack_ids(part) if keep_ids or len(part) < window else None)
+            numbers = np.arange(at_piece, at_piece + len(doc), dtype=np.int64)
+            at_piece += len(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, b.column("doc_id").type), *(pa.array(c, pa.int64()) for c in (key, start, length, crc, total)),
-                 pa.array(kept, pa.binary())], ["doc_id", "row_key", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+                [pa.array(numbers), pa.array(doc, b.column("doc_id").type), *(pa.array(c, pa.int64()) for c in (key, start, length, crc, total)),
+                 pa.array(kept, pa.binary())], ["piece", "doc_id", "row_key", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, row_key bigint, start bigint, "
+    return src.mapInArrow(run, f"piece bigint, doc_id {src.schema['doc_id'].dataType.simpleString()}, row_key bigint, start bigint, "
                                "length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary")
 
 
@@ -199,7 +204,7 @@ class Slots:
 
 # -- the operator ---------------------------------------------------------
 
-OUT = "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
+LIGHT = ["piece", "row_key", "doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
@@ -222,9 +227,9 @@ def pack(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     slots = Slots(combos, repeats, window)
     n_full = sizes.get(window, 0)
 
-    spread = ["row_key", "doc_id", "start"]
-    light = all_pieces.select(*spread, "length", "ids_crc32", "doc_tokens", "ids")
-    ranked = numbered(spark, light, ["length"], spread, out="rank", rows=sum(sizes.values()))
+    # places are found for rows without ids: those stay in the stored table until the place is known
+    spread = ["row_key", "doc_id", "start", "piece"]
+    ranked = numbered(spark, all_pieces.select(*LIGHT), ["length"], spread, out="rank", rows=sum(sizes.values()))
     after_full = n_full + slots.sequences
 
     def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,35 +239,39 @@ def pack(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
             seq, off = slots.place(np.minimum(length, window), rank)
             whole = length == window
             seq = np.where(whole, rank, np.where(seq >= 0, seq + n_full, -1))
-            cols = [b.column(c) for c in ("row_key", "doc_id", "start", "length", "ids_crc32", "doc_tokens")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(seq), pa.array(np.where(whole, 0, off)), b.column("ids")],
-                                             ["row_key", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in LIGHT), pa.array(seq), pa.array(np.where(whole, 0, off))],
+                                             [*LIGHT, "sequence_id", "offset"])
 
-    placed = ranked.mapInArrow(place, f"row_key bigint, {OUT.format(id=id_type)}")
-    done = placed.filter("sequence_id >= 0").select(*NAMES)
+    light = (f"piece bigint, row_key bigint, doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+             "sequence_id bigint, offset bigint")
+    placed = stored(spark, ranked.mapInArrow(place, light), "placed")
+    done = placed.filter("sequence_id >= 0")
     left_count = int((histogram - slots.total[:window]).sum())
     if left_count:
-        placed = stored(spark, placed, "placed")
-        done = placed.filter("sequence_id >= 0").select(*NAMES)
-        rest = placed.filter("sequence_id < 0").drop("sequence_id", "offset")
+        rest = placed.filter("sequence_id < 0").select(*LIGHT)
         stream = numbered(spark, rest, [], spread, weight=F.col("length"), out="at", rows=left_count)
+        stream = stored(spark, stream.select(*LIGHT, (F.floor(F.col("at") / window) + after_full).alias("sequence_id"),
+                                             (F.col("at") % window).alias("offset")), "stream")
+        done = done.unionByName(stream)
+    crossing = F.col("offset") + F.col("length") > window
+    with_ids = all_pieces.select("piece", "ids")
 
-        def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                rows = []
-                cols = [b.column(c).to_pylist() for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "at")]
-                for name, start, length, crc, total, blob, at in zip(*cols):
-                    room = window - at % window
-                    if length <= room:
-                        rows.append((name, start, length, crc, total, after_full + at // window, at % window, blob))
-                        continue
-                    ids = unpack_ids(blob)
-                    for lo, hi, seq, off in ((0, room, at // window, at % window), (room, length, at // window + 1, 0)):
-                        rows.append((name, start + lo, hi - lo, zlib.crc32(ids[lo:hi].tobytes()), total,
-                                     after_full + seq, off, pack_ids(ids[lo:hi])))
-                c = list(zip(*rows)) or [[]] * len(NAMES)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0], b.column("doc_id").type), *(pa.array(x, pa.int64()) for x in c[1:7]), pa.array(c[7], pa.binary())], NAMES)
-
-        done = done.union(stream.mapInArrow(cut, OUT.format(id=id_type)))
-    return done if keep_ids else done.drop("ids")
+    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            rows = []
+            for name, start, length, crc, total, seq, off, blob in zip(*(b.column(c).to_pylist() for c in NAMES)):
+                room = window - off
+                ids = unpack_ids(blob)
+                for lo, hi, s, o in ((0, room, seq, off), (room, length, seq + 1, 0)):
+                    rows.append((name, start + lo, hi - lo, zlib.crc32(ids[lo:hi].tobytes()), total, s, o, pack_ids(ids[lo:hi])))
+            c = list(zip(*rows)) or [[]] * len(NAMES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[0], b.column("doc_id").type), *(pa.array(x, pa.int64()) for x in c[1:7]), pa.array(c[7], pa.binary())], NAMES)
+
+    out = (f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
+           "offset bigint, ids binary")
+    halves = done.filter(crossing).join(with_ids, "piece").select(*NAMES).mapInArrow(cut, out)
+    whole = done.filter(~crossing)
+    if keep_ids:
+        return whole.join(with_ids, "piece").select(*NAMES).union(halves)
+    return whole.select(*NAMES[:-1]).union(halves.drop("ids"))
