@@ -58,9 +58,8 @@ def main() -> None:
     stg = P.load_staging(wh, 2014, ld)
     from vaultspark.operators import staging
 
-    _, _, _, pk, hd = P.SATS["sat_user"]
-    latest_user = (wh.read("sat_user_latest", P._latest_schema(pk, hd))
-                   .where("version = 2013").drop("version"))
+    states, _ = P.known_states(wh, "sat_user", wh.read("sat_user", schemas.SAT_USER), 2014)
+    payments = wh.read("sat_payment", schemas.SAT_PAYMENT)
 
     sections = {
         "Staging of one year (ODS partition read, one projection)":
@@ -73,11 +72,11 @@ def main() -> None:
             vault.sat_user_rows(stg["payment"], wh.read("sat_user", schemas.SAT_USER), as_of=ld),
         "Satellite load (sat_payment)":
             vault.sat_payment_rows(stg["payment"], wh.read("sat_payment", schemas.SAT_PAYMENT), as_of=ld),
-        "Satellite load against the latest-state table (incremental, sat_user)":
-            vault.sat_user_rows(stg["payment"], None, as_of=ld, latest=latest_user),
-        "Advancing the latest-state table after a load (O(keys))":
-            vault.advance_latest(latest_user, wh.read("sat_user_new_2013", schemas.SAT_USER),
-                                 "USER_PK", "USER_HASHDIFF", ld),
+        "Satellite load against the chain of states (sat_user)":
+            vault.sat_user_rows(stg["payment"], states, as_of=ld),
+        "Report delta of one load (sums per user and billing year)":
+            marts.user_year_sums(wh.read("link_payment"), payments.where("LOAD_DATE = timestamp_ntz'2013-01-01 00:00:00'"),
+                                 wh.read("hub_billing_period")),
         "Payment report (pre-aggregated before the user joins)":
             marts.payment_report(wh.read("link_payment"), wh.read("sat_payment", schemas.SAT_PAYMENT),
                                  wh.read("hub_billing_period"), wh.read("hub_user"),
