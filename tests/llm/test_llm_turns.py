@@ -121,6 +121,19 @@ def rows_of(df):
 def test_query_against_brute_force(spark, monkeypatch, least):
     monkeypatch.setattr(turn_trie, "LEAST_BYTES", least)
     monkeypatch.setattr(turn_trie, "CHUNK_IDS", 3)
+    monkeypatch.setattr(turn_trie, "FAN", 2)
+    held = [(r.conv_id, r.turn, r.role, r.text) for r in table(spark, SMALL, "conversations").collect()]
+    assert rows_of(op11_turn_trie(spark, SMALL)) == brute(plain_rebuilt(held), n_words)
+
+
+def test_more_partitions_than_asked_for_change_nothing(spark, monkeypatch):
+    """A cluster may deal ranges to more partitions, some without rows: levels end all the same."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    deal = Classic.repartitionByRange
+    monkeypatch.setattr(Classic, "repartitionByRange", lambda self, n, *cols: deal(self, 37, *cols))
+    monkeypatch.setattr(turn_trie, "LEAST_BYTES", 64)
+    monkeypatch.setattr(turn_trie, "FAN", 3)
     held = [(r.conv_id, r.turn, r.role, r.text) for r in table(spark, SMALL, "conversations").collect()]
     assert rows_of(op11_turn_trie(spark, SMALL)) == brute(plain_rebuilt(held), n_words)
 

@@ -10,9 +10,9 @@ a kept path too, and none inside an id where two ids merely begin alike.
 
 A node belongs to one range alone unless it begins the first or the last key of a range.
 Those few are not emitted; a range hands on its first and its last key with what it knows
-of the nodes on them.  These paths are ranged and inserted again, in as many levels as it
-takes until one bounded range holds all: each level has two rows for a whole range of the
-level below.
+of the nodes on them.  The paths of ``FAN`` neighbouring ranges are inserted into one tree
+again, level by level, until one holds all: each level has two rows for a whole range of
+the level below.
 
 Digests of the members that end at a node are hashed in an aggregate while they are few.
 A larger group's ids are sorted and joined into chunks in parallel, and stream through one
@@ -28,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ from vaultspark.llm.common import stored
 WIDTH = 16
 #: Bytes of keys in a range; a small table is cut down to ``LEAST_BYTES`` while cores are idle.
 RANGE_BYTES, LEAST_BYTES = 4 << 20, 64 << 10
+#: Neighbouring ranges whose paths meet in one tree of the next level.
+FAN = 64
 #: Members whose ids one aggregate may hold; a larger group is hashed from sorted chunks of so many ids.
 CHUNK_IDS = 8192
 NO_CONV = np.iinfo(np.int64).max
@@ -318,47 +321,67 @@ def solve(rows: list[Row], whole: bool) -> tuple[list[list], list[Row]]:
 # -- levels -------------------------------------------------------------------
 
 SCHEMA = ("conv_id long, depth long, parent_conv_id long, parent_print binary, print binary, n_convs long, n_children long, "
-          "n_leaves long, saved_tokens long, ends binary, key binary, words binary, part binary, digests binary")
-TYPES = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.int64()] * 4 + [pa.binary()] * 5
+          "n_leaves long, saved_tokens long, ends binary, key binary, words binary, part binary, digests binary, shard long")
+TYPES = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.int64()] * 4 + [pa.binary()] * 5 + [pa.int64()]
 NAMES = [c.split(" ")[0] for c in SCHEMA.split(", ")]
 
 
-def _batches(columns: list[list]) -> Iterator[pa.RecordBatch]:
-    for lo in range(0, len(columns[0]), 20_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + 20_000], t) for c, t in zip(columns, TYPES)], NAMES)
-
-
-def _level(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, bool]:
-    """One level over a stored table of rows: its finished nodes and its paths, stored, and whether one range held all."""
-    size = F.length("key") + F.length("part") + F.length("digests")  # the paths' columns are null on the first level
-    rows, total = df.agg(F.count(F.lit(1)), F.sum(F.coalesce(size, F.length("key")))).first()
-    ranges = max(-(-(total or 0) // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, (total or 0) // LEAST_BYTES))
-    ranges = max(1, min(ranges, rows // 8))  # with two paths a range, each level has a quarter of the rows at most
-    whole = ranges == 1
+def _read(b: pa.RecordBatch | pa.Table) -> list[Row]:
+    """Rows of a batch: keys of the first level, paths of a later one."""
+    out = []
+    names = set(b.schema.names)
+    if "part" not in names:
+        for key, words, n, conv, ends in zip(*(b.column(c).to_pylist() for c in ("key", "words", "n", "conv", "ends"))):
+            out.append(Row(key, np.array(words, dtype="<i8"), n, conv, ends))
+        return out
+    for key, words, part, digests in zip(*(b.column(c).to_pylist() for c in ("key", "words", "part", "digests"))):
+        t = len(key) // WIDTH + 1
+        known = [digests[32 * i:32 * i + 32] for i in range(t)]
+        out.append(Row(key, np.frombuffer(words, "<i8"),
+                       part=(np.frombuffer(part, "<i8").reshape(5, t), [None if d == bytes(32) else d for d in known])))
+    return out
+
+
+def _written(rows: list[Row], whole: bool, shard: int) -> list[pa.RecordBatch]:
+    """Finished nodes and paths of one range."""
+    nodes, paths = solve(rows, whole)
+    out = []
+    for columns in ([*nodes, *[[None] * len(nodes[0]) for _ in range(5)]],
+                    [*[[None] * len(paths) for _ in NODE], [r.key for r in paths], [np.asarray(r.words, "<i8").tobytes() for r in paths],
+                     [r.part[0].astype("<i8").tobytes() for r in paths], [b"".join(d or bytes(32) for d in r.part[1]) for r in paths],
+                     [shard] * len(paths)]):
+        for lo in range(0, len(columns[0]), 20_000):
+            out.append(pa.RecordBatch.from_arrays([pa.array(c[lo:lo + 20_000], t) for c, t in zip(columns, TYPES)], NAMES))
+    return out
+
+
+def _first_level(spark: SparkSession, keys: DataFrame) -> tuple[DataFrame, bool]:
+    """The ranges of a stored table of keys: finished nodes and paths, stored, and whether one range held all."""
+    rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("key")), F.lit(0))).first()
+    ranges = max(-(-total // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, total // LEAST_BYTES))
+    whole = max(1, min(ranges, rows // 8)) == 1
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for b in it:
-            for key, words, n, conv, ends, part, digests in zip(*(b.column(c).to_pylist() for c in (
-                    "key", "words", "n", "conv", "ends", "part", "digests"))):
-                words = np.frombuffer(words, "<i8") if isinstance(words, bytes) else np.array(words, dtype="<i8")
-                t = len(key) // WIDTH + 1
-                if part is None:
-                    rows.append(Row(key, words, n, conv, ends))
-                else:
-                    known = [digests[32 * i:32 * i + 32] for i in range(t)]
-                    rows.append(Row(key, words, part=(np.frombuffer(part, "<i8").reshape(5, t),
-                                                      [None if d == bytes(32) else d for d in known])))
-        nodes, paths = solve(rows, whole)
-        yield from _batches([*nodes, *[[None] * len(nodes[0]) for _ in range(4)]])
-        yield from _batches([*[[None] * len(paths) for _ in NODE], [r.key for r in paths],
-                             [np.asarray(r.words, "<i8").tobytes() for r in paths], [r.part[0].astype("<i8").tobytes() for r in paths],
-                             [b"".join(d or bytes(32) for d in r.part[1]) for r in paths]])
-
-    ranged = df.coalesce(1) if whole else df.repartitionByRange(ranges, "key")
+        # partitions of a range partitioning are numbered in the order of the keys
+        yield from _written([r for b in it for r in _read(b)], whole, TaskContext.get().partitionId())
+
+    ranged = keys.coalesce(1) if whole else keys.repartitionByRange(min(ranges, rows // 8), "key")
     return stored(spark, ranged.mapInArrow(run, SCHEMA), "trie-nodes"), whole
 
 
+def _next_level(spark: SparkSession, paths: DataFrame) -> tuple[DataFrame, bool]:
+    """The paths of ``FAN`` neighbouring ranges meet in one: at most two rows for each."""
+    last = paths.agg(F.max("shard")).first()[0]
+    whole = last < FAN
+
+    def run(table: pa.Table) -> pa.Table:
+        shard = table.column("above")[0].as_py()
+        return pa.Table.from_batches(_written(_read(table), whole, shard), pa.schema(list(zip(NAMES, TYPES))))
+
+    above = paths.select("key", "words", "part", "digests", F.floor(F.col("shard") / FAN).alias("above"))
+    return stored(spark, above.groupBy("above").applyInArrow(run, SCHEMA), "trie-nodes"), whole
+
+
 def _digests(spark: SparkSession, members: DataFrame, keys: DataFrame) -> DataFrame:
     """(kid, ends) of keys with several members: SHA-256 of their ids in ascending order, joined by commas."""
     few = members.join(keys.where(f"n between 2 and {CHUNK_IDS}").select("kid"), "kid", "left_semi")
@@ -454,15 +477,12 @@ def trie(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     keys = stored(spark, keys, "trie-keys")
     ends = _digests(spark, rows.select("kid", "conv_id"), keys.select("kid", "n"))
     alone = F.unhex(F.sha2(F.col("conv").cast("string").cast("binary"), 256))
-    none = F.lit(None).cast("binary")
-    level = stored(spark, keys.join(ends, "kid", "left").select(
-        "key", "words", "n", "conv", F.coalesce("ends", alone).alias("ends"), none.alias("part"), none.alias("digests")), "trie-level")
-    found, whole = [], False
+    level = stored(spark, keys.join(ends, "kid", "left").select("key", "words", "n", "conv", F.coalesce("ends", alone).alias("ends")), "trie-level")
+    done, whole = _first_level(spark, level)
+    found = [done.where("key is null").select(*NODE)]
     while not whole:
-        done, whole = _level(spark, level)
+        done, whole = _next_level(spark, done.where("key is not null"))
         found.append(done.where("key is null").select(*NODE))
-        level = done.where("key is not null").select("key", "words", F.lit(0).alias("n"), F.lit(NO_CONV).alias("conv"),
-                                                     none.alias("ends"), "part", "digests")
     nodes = reduce(DataFrame.union, found)
     # parents that were finished on a later level; the root may have a large share of all nodes below it
     salt = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt")
