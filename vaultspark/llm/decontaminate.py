@@ -44,17 +44,20 @@ UNITS = (
     "tons?|lbs?|pounds?|oz|ounces?|ml|l|liters?|litres?|gallons?|seconds?|secs?|s|minutes?|mins?|hours?|hrs?|h|days?|weeks?|"
     "months?|years?|percent|dollars?|cents?|euros?|usd|eur|mph|kmh|hz|khz|mhz|ghz|watts?|kw|volts?|degrees?|kb|mb|gb|tb"
 )
-#: White space of any kind other than a single blank.
-BLANKS = r"[\s\u0085\p{Z}&&[^ ]][\s\u0085\p{Z}]*| [\s\u0085\p{Z}]+"
-NAME_PLACE = r"(?<=[\p{Ll}\p{N}],{0,1} )(?=\p{Lu}\p{Ll})"
-UNIT_PLACE = rf"(?<=\d {{0,1}})(?=(?:{UNITS})\b)"
+#: White space of any kind: what Java's \\s takes, the next-line control and the separators of Unicode.
+BLANKS = "\t\n\x0b\x0c\r\u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+# Both patterns begin with a character that is rare, so most places of a text are passed at once.
+NAME_PLACE = r" (?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N}],{0,1} )"
+UNIT_PLACE = rf"(\d {{0,1}})(?=(?:{UNITS})\b)"
 TOKEN = rf"[{NAME_MARK}{UNIT_MARK}]?[\p{{L}}\p{{M}}]+|[$€£]?\d+(?:[.,:]\d+)*%?"
 
 
 def raw_tokens(text: Column) -> Column:
     """Words and numbers in order, names and units with their mark."""
-    clean = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), NAME_MARK + UNIT_MARK, ""), BLANKS, " ")
-    marked = F.regexp_replace(F.regexp_replace(clean, UNIT_PLACE, UNIT_MARK), NAME_PLACE, NAME_MARK)
+    # one pass drops marks that are in the text and makes all white space blanks
+    plain = F.translate(F.coalesce(text, F.lit("")), BLANKS + NAME_MARK + UNIT_MARK, " " * len(BLANKS))
+    clean = F.regexp_replace(plain, "  +", " ")
+    marked = F.regexp_replace(F.regexp_replace(clean, UNIT_PLACE, "$1" + UNIT_MARK), NAME_PLACE, " " + NAME_MARK)
     return F.regexp_extract_all(marked, F.lit(TOKEN), F.lit(0))
 
 
