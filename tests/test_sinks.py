@@ -191,3 +191,22 @@ def test_remains_of_a_killed_write_are_no_table(spark, tmp_path):
     wh.append("hub_account", row)
     assert wh.read("hub_account", s).count() == 1 and not wh.create_if_missing("hub_account", s)
     _forget(spark, wh, "hub_account")
+
+
+def test_shared_folder_of_another_default_file_system_is_qualified(spark):
+    from vaultspark.sources.sinks import shared_root
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old, base = conf.get("fs.defaultFS"), spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        conf.set("fs.defaultFS", "hdfs://127.0.0.1:9")
+        spark.conf.set("spark.checkpoint.dir", "/user/x")
+        assert shared_root(spark, "n").startswith("hdfs://127.0.0.1:9/user/x/n-")
+        spark.conf.set("spark.checkpoint.dir", "file:///mnt/shared")
+        assert shared_root(spark, "n").startswith("///mnt/shared/n-")
+    finally:
+        conf.set("fs.defaultFS", old)
+        if base is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", base)

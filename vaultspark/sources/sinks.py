@@ -62,6 +62,11 @@ def shared_root(spark: SparkSession, name: str = "vaultspark") -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if base.startswith("file:"):
         base = base[len("file:"):]
+    elif "://" not in base:  # a path of the default file system: said so, where that is not the local one
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.getUri().getScheme() != "file":
+            base = fs.makeQualified(path).toString()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
