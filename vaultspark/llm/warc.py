@@ -184,8 +184,11 @@ def write_archives(spark: SparkSession, pages: DataFrame, root: str, id_col: str
     again = stored(spark, again, "repeated-payloads")
     found = src.join(again, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") >= revisit_from), "left")
     found = found.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first"))).drop("_first", "_digest")
-    few = src.select("page_id", F.col("url"), F.substring("html", 1, SAMPLE_BYTES).alias("html"), "payload_digest", "payload_bytes")
-    few = few.orderBy(F.xxhash64("payload_digest", "page_id")).limit(SAMPLE_RECORDS).collect()  # a bounded sample, for the dictionary alone
+    # a bounded sample, for the dictionary alone: its hashes are found first, so a partition sends numbers and no texts
+    place = F.xxhash64("payload_digest", "page_id")
+    first = src.select(place.alias("place")).distinct().orderBy("place").limit(SAMPLE_RECORDS).agg(F.max("place")).first()[0]
+    few = src.select(place.alias("place"), "page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html"), "payload_digest", "payload_bytes")
+    few = few.filter(F.col("place") <= F.lit(first)).dropDuplicates(["place"]).orderBy("place").collect() if first is not None else []
     few = [record(r["page_id"], r["url"], r["html"].encode("utf-8", "replace"), r["payload_digest"], r["payload_bytes"]) for r in few]
     task = _writer(root, train_dictionary(few), roll, level)
     cols = ["page_id", "url", "html", "payload_bytes", "payload_digest", "refers_to"]
