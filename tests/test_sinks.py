@@ -194,19 +194,14 @@ def test_remains_of_a_killed_write_are_no_table(spark, tmp_path):
 
 
 def test_shared_folder_of_another_default_file_system_is_qualified(spark):
-    from vaultspark.sources.sinks import shared_root
+    from vaultspark.sources.sinks import qualified
 
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    old, base = conf.get("fs.defaultFS"), spark.conf.get("spark.checkpoint.dir", None)
+    old = conf.get("fs.defaultFS")
+    assert qualified(spark, "/user/x") == "/user/x" and qualified(spark, "s3a://b/x") == "s3a://b/x"
     try:
         conf.set("fs.defaultFS", "hdfs://127.0.0.1:9")
-        spark.conf.set("spark.checkpoint.dir", "/user/x")
-        assert shared_root(spark, "n").startswith("hdfs://127.0.0.1:9/user/x/n-")
-        spark.conf.set("spark.checkpoint.dir", "file:///mnt/shared")
-        assert shared_root(spark, "n").startswith("///mnt/shared/n-")
+        assert qualified(spark, "/user/x") == "hdfs://127.0.0.1:9/user/x"
+        assert qualified(spark, "file:/mnt/shared") == "/mnt/shared"
     finally:
         conf.set("fs.defaultFS", old)
-        if base is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", base)

@@ -60,14 +60,20 @@ def shared_root(spark: SparkSession, name: str = "vaultspark") -> str:
         base = tempfile.mkdtemp(prefix="vaultspark-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
+    return f"{qualified(spark, base).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def qualified(spark: SparkSession, base: str) -> str:
+    """A folder as every reader takes it for the same: a local one without scheme, one of another
+    default file system in full."""
     if base.startswith("file:"):
-        base = base[len("file:"):]
-    elif "://" not in base:  # a path of the default file system: said so, where that is not the local one
+        return base[len("file:"):]
+    if "://" not in base:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if fs.getUri().getScheme() != "file":
-            base = fs.makeQualified(path).toString()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+            return fs.makeQualified(path).toString()
+    return base
 
 
 @dataclass
