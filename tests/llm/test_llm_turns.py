@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vaultspark.llm import oracle, turn_trie
+from vaultspark.llm import queries, turn_trie
 from vaultspark.llm.common import table
 from vaultspark.llm.queries import op11_turn_trie, rebuilt
 
@@ -138,11 +138,18 @@ def test_more_partitions_than_asked_for_change_nothing(spark, monkeypatch):
     assert rows_of(op11_turn_trie(spark, SMALL)) == brute(plain_rebuilt(held), n_words)
 
 
-def test_sql_gives_the_same_rows(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view conversations as select * from '{SMALL}/conversations.parquet'")
-    got = con.execute(f"select {', '.join(COLUMNS)} from ({oracle.TURN_TRIE}) q").fetchall()
-    assert sorted(got, key=str) == rows_of(op11_turn_trie(spark, SMALL))
+    for t in ("conversations", "pages"):
+        con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, SMALL)
+    want = con.execute(f"select {', '.join(df.columns)} from ({queries.ORACLE_SQL[name]}) q").fetchall()
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+
+
+def test_thirteen_operators_are_registered():
+    assert {int(q[2:].split("_")[0]) for q in queries.QUERIES} == set(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
 def test_awkward_rows_and_a_hot_group(spark, monkeypatch):

@@ -38,3 +38,14 @@ below as (
 select l.conv_id, l.depth, l.parent_conv_id, cast(l.n_convs as bigint) n_convs, cast(coalesce(k.n_children, 0) as bigint) n_children,
   cast(b.n_leaves as bigint) n_leaves, cast(b.saved as bigint) saved_tokens, sha256(coalesce(e.ids, '')) ends_sha256
 from linked l join below b on b.node = l.node left join kids k on k.parent = l.node left join ended e on e.node = l.node"""
+
+#: Payloads of 1000 bytes or more are equal by their digest; all but the one with the largest id revisit it.
+WARC = """
+with d as (
+  select page_id, cast(strlen(coalesce(html, '')) as bigint) payload_bytes, sha1(coalesce(html, '')) payload_digest from pages),
+m as (
+  select *, max(page_id) over (partition by payload_digest) top from d)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id < top then 'revisit' else 'response' end record_type,
+  case when payload_bytes >= 1000 and page_id < top then top end refers_to
+from m"""

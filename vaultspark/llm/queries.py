@@ -12,7 +12,7 @@ from vaultspark.llm import (chat_hmm, decontaminate, html_blocks, ngram_trie, or
 from vaultspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {"op11_turn_trie": oracle.TURN_TRIE}
+ORACLE_SQL: dict[str, str] = {"op6_warc": oracle.WARC, "op11_turn_trie": oracle.TURN_TRIE}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
