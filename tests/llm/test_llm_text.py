@@ -254,6 +254,47 @@ def test_language_model_equals_brute_force(spark, docs, rows, segment_bytes):
         assert abs(r.score - whole) <= 0.02 * len(t) + 1e-6
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_deeper_levels_equal_brute_force(spark, docs, rows, order, monkeypatch):
+    """Counts of longer n-grams below the nodes of pairs, over many segments and texts that are cut into parts."""
+    monkeypatch.setattr(ngram_trie, "PIECE", 20_000)
+    learn = crc_mod("doc_id", 7) != 2
+    ids = {r.doc_id for r in docs.filter(learn).select("doc_id").collect()}
+    cut = {i: ["".join(c.lower() if c.isascii() else c for c in w) for w in WORD.findall(t)] + [None] for i, t in rows}
+    one, d = collections.Counter(w for i in ids for w in cut[i]), ngram_trie.DISCOUNT
+    n, size = sum(one.values()), len(one)
+    grams = collections.Counter()  # a text's first words stand behind one end
+    for i in ids:
+        t = [None] + cut[i]
+        grams.update(tuple(t[k - m + 1:k + 1]) for m in range(2, order + 1) for k in range(m - 1, len(t)))
+    total, follow = collections.Counter(), collections.Counter(g[:-1] for g in grams)
+    for g, c in grams.items():
+        total[g[:-1]] += c
+
+    def p(context, w):
+        if not context:
+            return (one[w] + 1) / (n + size + 1)
+        low = p(context[1:], w)
+        if not total[context]:
+            return low
+        return max(grams[context + (w,)] - d, 0) / total[context] + d * follow[context] / total[context] * low
+
+    got = {r.doc_id: r for r in ngram_trie.score(docs, ngram_trie.learn(spark, docs, learn_from=learn, segment_bytes=1 << 17, order=order)).collect()}
+    plain = {r.doc_id: r for r in ngram_trie.score(docs, ngram_trie.learn(spark, docs, learn_from=learn)).collect()}
+    assert len(got) == len(rows)
+    for i, t in cut.items():
+        t = [None] + t
+        whole = sum(math.log10(p(tuple(t[max(0, k - order + 1):k]), t[k])) for k in range(1, len(t)))
+        assert abs(got[i].score - whole) <= 0.02 * (len(t) - 1) + 1e-6
+    assert sum(got[i].score for i in ids) > sum(plain[i].score for i in ids)  # what it has learned is likelier with more context
+
+
+def test_order_without_learning_texts(spark, docs):
+    model = ngram_trie.learn(spark, docs.limit(0), order=3)
+    got = ngram_trie.score(docs, model).collect()
+    assert all(r.n_known == 0 and r.score == r.base_score for r in got)
+
+
 def test_open_segments_of_a_remote_store_are_bounded(spark, docs, monkeypatch):
     model = ngram_trie.learn(spark, docs, segment_bytes=1 << 14)
     real, seen = ngram_trie.read_array, []

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Zeros of the upper bits between two directory entries.
-STEP = 64
+#: Words of the upper bits between two directory entries.
+STEP = 2
 _ONE = np.uint64(1)
 _BYTES = np.uint64(0x0101010101010101)
 
@@ -37,10 +37,12 @@ def select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
 
 class EliasFano:
     """A non-decreasing sequence of unsigned integers: low bits packed, high parts in
-    unary.  ``arrays()`` gives the parts to store, the constructor takes them back."""
+    unary.  ``arrays()`` gives the parts to store, the constructor takes them back: low and upper bits, and
+    the ones and the zeros before every ``STEP``-th word of the upper bits, a directory
+    from which the k-th one or zero is less than ``STEP`` words away however they are spread."""
 
-    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray) -> None:
-        self.n, self.width, self.low, self.high, self.zeros = n, width, low, high, zeros
+    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> None:
+        self.n, self.width, self.low, self.high, self.ones, self.zeros = n, width, low, high, ones, zeros
         self.mask = np.uint64((1 << width) - 1)
 
     @classmethod
@@ -53,8 +55,9 @@ class EliasFano:
         bits[(values >> np.uint64(width)).astype(np.int64) + np.arange(n)] = 1
         packed = np.packbits(bits, bitorder="little")
         packed = np.concatenate((packed, np.zeros(-len(packed) % 8 + 8, dtype=np.uint8)))
-        zeros = np.flatnonzero(bits == 0)[::STEP].astype(np.uint64)
-        return cls(n, width, cls._pack(values, width), packed.view(np.uint64), zeros)
+        high = packed.view(np.uint64)
+        count = np.cumsum(np.concatenate(([0], np.bitwise_count(high))))[:-1:STEP].astype(np.int64)
+        return cls(n, width, cls._pack(values, width), high, count, np.arange(len(count)) * (64 * STEP) - count)
 
     @staticmethod
     def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,8 +74,8 @@ class EliasFano:
         out[word[over] + 1] |= low[over] >> (np.uint64(64) - off[over])
         return out
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self.low, self.high, self.zeros
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        return self.low, self.high, self.ones, self.zeros
 
     def low_bits(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
@@ -82,79 +85,55 @@ class EliasFano:
         # a shift by 64 is undefined: shift by 63 - off and by one more
         return ((self.low[word] >> off) | ((self.low[word + 1] << (np.uint64(63) - off)) << _ONE)) & self.mask
 
-    def zero_place(self, k: np.ndarray) -> np.ndarray:
-        """Place of the k-th zero of the upper bits."""
-        start = self.zeros[k // STEP].astype(np.int64)
-        word, need = start >> 6, k % STEP
-        inv = ~self.high[word] & (~np.uint64(0) << (start & 63).astype(np.uint64))
-        ones = np.bitwise_count(inv).astype(np.int64)
-        todo = np.flatnonzero(ones <= need)
+    def _select(self, k: np.ndarray, before: np.ndarray, flip: np.uint64) -> np.ndarray:
+        """Place of the k-th one (with ``flip`` all ones: zero) of the upper bits, from the counts before each entry."""
+        entry = np.searchsorted(before, k, side="right") - 1
+        word, need = entry * STEP, k - before[entry]
+        cur = self.high[word] ^ flip
+        count = np.bitwise_count(cur).astype(np.int64)
+        todo = np.flatnonzero(count <= need)
         while len(todo):
-            need[todo] -= ones[todo]
+            need[todo] -= count[todo]
             word[todo] += 1
-            inv[todo] = ~self.high[word[todo]]
-            ones[todo] = np.bitwise_count(inv[todo])
-            todo = todo[ones[todo] <= need[todo]]
-        return word * 64 + select_in_word(inv, need)
+            cur[todo] = self.high[word[todo]] ^ flip
+            count[todo] = np.bitwise_count(cur[todo])
+            todo = todo[count[todo] <= need[todo]]
+        return word * 64 + select_in_word(cur, need)
+
+    def zero_place(self, k: np.ndarray) -> np.ndarray:
+        """Place of the k-th zero of the upper bits."""
+        return self._select(k, self.zeros, ~np.uint64(0))
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        """Values at positions ``i``: the high part is where the i-th one stands, found by bisection over zeros."""
-        lo, hi = np.zeros(len(i), dtype=np.int64), np.full(len(i), len(self.zeros), dtype=np.int64)
-        # ones before a directory entry: its place less its zeros
-        while True:
-            open_ = np.flatnonzero(hi - lo > 1)
-            if not len(open_):
-                break
-            mid = (lo[open_] + hi[open_]) >> 1
-            ones = self.zeros[mid].astype(np.int64) - mid * STEP
-            left = ones > i[open_]
-            hi[open_[left]], lo[open_[~left]] = mid[left], mid[~left]
-        start = self.zeros[lo].astype(np.int64)
-        need = i - (start - lo * STEP)
-        # before the first directory entry stand only ones
-        early = self.zeros[0].astype(np.int64) > i if len(self.zeros) else np.ones(len(i), dtype=bool)
-        start, need = np.where(early, 0, start), np.where(early, i, need)
-        word = start >> 6
-        cur = self.high[word] & (~np.uint64(0) << (start & 63).astype(np.uint64))
-        ones = np.bitwise_count(cur).astype(np.int64)
-        todo = np.flatnonzero(ones <= need)
-        while len(todo):
-            need[todo] -= ones[todo]
-            word[todo] += 1
-            cur[todo] = self.high[word[todo]]
-            ones[todo] = np.bitwise_count(cur[todo])
-            todo = todo[ones[todo] <= need[todo]]
-        place = word * 64 + select_in_word(cur, need)
+        """Values at positions ``i``: the high part is where the i-th one stands."""
+        place = self._select(i, self.ones, np.uint64(0))
         return ((place - i).astype(np.uint64) << np.uint64(self.width)) | self.low_bits(i)
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """Position of each value, -1 where it does not occur: from the zero that opens the
-        value's high part, successors are read until one is not smaller."""
+        """Position of each value (the last one if it repeats), -1 where it does not occur: the members with the
+        value's high part stand between two zeros, and the low bits are bisected among them."""
         out = np.full(len(values), -1, dtype=np.int64)
-        if not self.n:
+        if not self.n or not len(values):
             return out
         values = values.astype(np.uint64)
         high = (values >> np.uint64(self.width)).astype(np.int64)
-        limit = len(self.high) * 64
-        total_zeros = limit  # a guard only: high parts beyond the last stored one cannot occur
         last = int(self.get(np.array([self.n - 1]))[0]) >> self.width
-        act = np.flatnonzero(high <= min(last, total_zeros))
+        act = np.flatnonzero(high <= last)
         if not len(act):
             return out
-        place = np.zeros(len(act), dtype=np.int64)
-        inner = np.flatnonzero(high[act] > 0)
-        place[inner] = self.zero_place(high[act[inner]] - 1) + 1
-        want = values[act] & self.mask
-        while len(act):
-            one = (self.high[place >> 6] >> (place & 63).astype(np.uint64)) & _ONE
-            keep = one == 1
-            act, place, want = act[keep], place[keep], want[keep]
-            if not len(act):
-                break
-            e = place - high[act]
-            got = self.low_bits(e)
-            hit = got == want
-            out[act[hit]] = e[hit]
-            go = got < want
-            act, place, want = act[go], place[go] + 1, want[go]
+        h, want = high[act], values[act] & self.mask
+        lo = np.zeros(len(act), dtype=np.int64)
+        inner = np.flatnonzero(h > 0)
+        lo[inner] = self.zero_place(h[inner] - 1) + 1 - h[inner]
+        hi = self.zero_place(h) - h
+        first = lo.copy()
+        todo = np.flatnonzero(lo < hi)
+        while len(todo):  # members up to ``lo`` are not greater
+            mid = (lo[todo] + hi[todo]) >> 1
+            under = self.low_bits(mid) <= want[todo]
+            lo[todo[under]], hi[todo[~under]] = mid[under] + 1, mid[~under]
+            todo = todo[lo[todo] < hi[todo]]
+        hit = np.flatnonzero(lo > first)
+        hit = hit[self.low_bits(lo[hit] - 1) == want[hit]]
+        out[act[hit]] = lo[hit] - 1
         return out

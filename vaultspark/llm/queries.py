@@ -81,9 +81,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """log10 probability of every whole text, learned from the rows that are not held out."""
+    """log10 probability of every whole text by a model of three words, learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    model = ngram_trie.learn(spark, docs, learn_from=~held_out(7))
+    model = ngram_trie.learn(spark, docs, learn_from=~held_out(7), order=3)
     out = ngram_trie.score(docs, model)
     return out.select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known",
                       F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
