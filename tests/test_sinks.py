@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from vaultspark.operators import ods
 from vaultspark.plans import pipeline
 from vaultspark.sources import schemas
@@ -205,3 +208,19 @@ def test_shared_folder_of_another_default_file_system_is_qualified(spark):
         assert qualified(spark, "file:/mnt/shared") == "/mnt/shared"
     finally:
         conf.set("fs.defaultFS", old)
+
+
+@pytest.mark.parametrize("atomic", [False, True])
+def test_hash_keys_take_half_their_hex_on_disk(spark, tmp_path, atomic):
+    wh = Warehouse.for_vault(spark, str(tmp_path), n=2, atomic=atomic)
+    rows = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("PAYMENT_PK"), F.lit("2013").alias(PARTITION_COLUMN))
+    wh.append("link_payment", rows)  # bucketed
+    wh.append("plain", rows)
+    wh.replace("replaced", rows)
+    wh.write_once("once", rows)
+    wh.overwrite_partition("one_year", "2013", rows)
+    wh.overwrite_partitions("all_years", rows)
+    for name in ("link_payment", "plain", "replaced", "once", "one_year", "all_years"):
+        size = sum(f.stat().st_size for folder in tmp_path.glob(f"{name}*") for f in folder.rglob("*.parquet"))
+        assert 0 < size < 0.75 * 32 * rows.count(), name
+        assert wh.read(name).count() == rows.count()
