@@ -150,6 +150,45 @@ def test_chain_of_states_equals_the_history_and_stays_small(spark, tmp_path, mon
     load(2018)
 
 
+def test_keys_travel_as_bytes_and_come_back(spark):
+    from vaultspark.functions.hashing import packed, unpacked
+
+    texts = ["", "a", "0" * 32, "0" * 31, "A" * 32, "a" * 32, "g" * 32, "\u00e9" * 32, "\0" * 16, None, "d41d8cd98f00b204e9800998ecf8427e"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed("t").alias("p"))
+    got = df.select("t", "p", unpacked("p").alias("u")).collect()
+    assert all(r.t == r.u for r in got) and len({bytes(r.p) for r in got if r.p is not None}) == len(texts) - 1
+    assert {len(r.p) for r in got if r.t in ("0" * 32, "a" * 32)} == {16}
+
+
+def test_rows_of_ordinary_keys_are_exchanged_once(spark, monkeypatch):
+    """Only a large key is cut into segments; the result is that of a plain lag."""
+    monkeypatch.setattr(vault, "LEAST_PIECE", 20)
+    plain = spark.range(400).select((F.col("id") % 40).cast("string").alias("k"), (F.col("id") % 7).alias("d"),
+                                    F.col("id").alias("t"), (F.col("id") % 3).alias("v"))
+    hot = plain.unionByName(plain.withColumn("k", F.lit("hot")).withColumn("t", F.col("t") + 1000))
+    monkeypatch.setattr(vault, "KEY_SHARES", 1)
+    got = vault.collapse_repeats(plain, "k", "v", ["d", "t"])
+    assert len(exchanges(executed(got))) == 1
+    for df in (plain, hot):
+        assert rows(vault.collapse_repeats(df, "k", "v", ["d", "t"])) == rows(vault._collapse_in_one(df, "k", "v", ["d", "t"]))
+    assert "_b0" in executed(vault.collapse_repeats(hot, "k", "v", ["d", "t"]))
+
+
+def test_rows_of_a_satellite_are_exchanged_for_distinct_and_anti_join_together(spark, loaded, no_broadcast):
+    sat = loaded.read("sat_payment", schemas.SAT_PAYMENT)
+    plan = executed(vault.sat_payment_rows(loaded.read("mv_payment_2014"), sat, as_of=dt.datetime(2014, 1, 1)))
+    assert not [e for e in exchanges(plan) if "pay_doc_num" in e]
+
+
+def test_a_dynamic_overwrite_tells_its_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2013"), (2, "2014")], "a int, part string")
+    for atomic in (False, True):
+        wh = Warehouse(spark, str(tmp_path / str(atomic)), atomic=atomic)
+        assert wh.overwrite_partitions("t", df) == {"2013", "2014"}
+        assert wh.overwrite_partitions("t", df.where("a = 2")) == {"2014"}
+        assert wh.overwrite_partitions("t", df.where("a = 3")) == set()
+
+
 # -- marts ----------------------------------------------------------------------------
 
 def test_payments_are_never_exchanged_on_billing_periods(spark, loaded, no_broadcast):
