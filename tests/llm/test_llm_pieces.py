@@ -63,6 +63,17 @@ def test_rows_of_agendas_equal_the_heap(agenda):
     assert agenda.join_rows(["the", "🙂x"])[1] is None or "🙂" in agenda.ids
 
 
+def test_keys_between_spaces_stand_for_the_words_of_the_text(agenda):
+    rng = random.Random(5)
+    signs = [*"ab the  \n\n\t\r\x0b▁é中🙂.,xyz", " ", "e", "th"]
+    whole = ["", " ", "  a", "a \nb", "\na", "a\n", "a▁ b", "▁", "x" * 200 + " y\n" + "z" * 70]
+    whole += ["".join(rng.choice(signs) for _ in range(rng.randrange(90))) for _ in range(3000)]
+    assert [i.tolist() for i in agenda.encode_all(whole)] == agenda.library.encode(whole, add_eos=True)
+    for t in whole:
+        assert [w for k in agenda.cut(t) for w in agenda.words_of(k)] == (agenda.words.findall("▁" + t.replace(" ", "▁")) if t else [])
+    assert agenda.cut("one two\nthree") == ["one", "two", "\nthree"]  # found without a search for words
+
+
 def test_tables_of_words_stay_bounded(monkeypatch):
     monkeypatch.setattr(piece_agenda, "WORDS", 50)
     a = piece_agenda.Agenda(piece_agenda.model_path())

@@ -9,8 +9,8 @@ left over that is no piece becomes byte pieces.
 Texts are cut where no join can ever happen, which changes no result: between two
 characters that follow each other in no piece of the vocabulary.  For the usual
 vocabularies that holds before every space after a word, so a text falls into
-words, whose answers are remembered (a bounded table per worker).  The new short
-words of an Arrow batch share a table of agendas, one row for each, and a round pops
+words, whose answers are remembered (a bounded table per worker, looked up by what lies
+between two spaces).  The new short words of an Arrow batch share a table of agendas, one row for each, and a round pops
 the best entry of every row; longer runs have a heap of their own.
 
 Every Arrow batch is encoded a second time by the sentencepiece library; the
@@ -25,7 +25,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -115,7 +115,7 @@ class Agenda:
         self.pairs = {p[k:k + 2] for p in self.place for k in range(len(p) - 1)}
         open_spaces = any(a != SPACE_MARK and b == SPACE_MARK for a, b in self.pairs)
         # white space that no piece joins to anything is a word of its own
-        lone = "".join(c for c in "\t\n\x0b\x0c\r" if not any(c in p for p in self.pairs))
+        lone = self.lone = "".join(c for c in "\t\n\x0b\x0c\r" if not any(c in p for p in self.pairs))
         self.words = None if open_spaces else re.compile(
             f"{SPACE_MARK}*[^{SPACE_MARK}{lone}]+|{SPACE_MARK}+" + (f"|[{lone}]" if lone else ""))
         self.end = lib.eos_id()
@@ -177,16 +177,46 @@ class Agenda:
         raw, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(alive.sum(axis=1))).tolist()
         return [raw[a:b] if k else None for a, b, k in zip([0, *ends], ends, known.tolist())]
 
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of new words of at most ``WORD_CHARS`` characters."""
+    def answers(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words, short ones in tables of agendas."""
+        out = {w: self.long_word(w) for w in words if len(w) > WORD_CHARS}
         groups: dict[int, list[str]] = {}
-        for w in words:
+        for w in words - out.keys():
             groups.setdefault((len(w) - 1) // 8, []).append(w)
         for group in groups.values():
             for lo in range(0, len(group), 20_000):
                 part = group[lo:lo + 20_000]
                 for w, ids in zip(part, self.join_rows(part)):
-                    self.known[w] = self.long_word(w) if ids is None else ids
+                    out[w] = self.long_word(w) if ids is None else ids
+        return out
+
+    def learn(self, keys: set[str]) -> dict[str, bytes]:
+        """Ids of keys (see :meth:`cut`)."""
+        words = {k: self.words_of(k) for k in keys}
+        ids = self.answers(set(chain.from_iterable(words.values())))
+        return {k: b"".join(map(ids.__getitem__, w)) for k, w in words.items()}
+
+    def cut(self, text: str) -> list[str]:
+        """Keys of a text, in order.  Where its spaces are single and stand inside, they are what lies between
+        them, cut again before lone white space; a text with other spaces, or with the mark of spaces, is cut into
+        words, each behind a space."""
+        if not text:
+            return []
+        if self.words is not None and self.prefix and SPACE_MARK not in text:
+            spaced = text
+            for c in self.lone:
+                if c in text:
+                    spaced = spaced.replace(c, " " + c)
+            if "  " not in spaced and spaced[0] != " " and spaced[-1] != " ":
+                return spaced.split(" ")
+        marked = self.prefix + text.replace(" ", SPACE_MARK)
+        return [f" {w}" for w in (self.words.findall(marked) if self.words else [marked])]
+
+    def words_of(self, key: str) -> list[str]:
+        """The words that a key of :meth:`cut` stands for."""
+        if key[0] == " ":
+            return [key[1:]]
+        return self.words.findall(key if key[0] in self.lone else self.prefix + key)
 
     def long_word(self, word: str) -> bytes:
         return np.array([i for run in self.runs(word) for i in self.join(run)], dtype="<i4").tobytes()
@@ -247,23 +277,24 @@ class Agenda:
 
     def encode_all(self, whole: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last.  An empty text is the end id alone."""
-        marked = [self.prefix + t.replace(" ", SPACE_MARK) if t else "" for t in whole]
-        split = [self.words.findall(m) if self.words else [m] if m else [] for m in marked]
-        wanted = set(chain.from_iterable(split))
-        longer = {w for w in wanted if len(w) > WORD_CHARS}
-        wanted -= longer
-        new = wanted - self.known.keys()
-        if len(self.known) + len(new) > WORDS:
-            self.known, new = {}, wanted
-        self.learn(new)
-        known, end, out = self.known, np.array([self.end], dtype="<i4").tobytes(), []
-        for words in split:
-            if longer and not longer.isdisjoint(words):
-                raw = b"".join([self.long_word(w) if w in longer else known[w] for w in words])
-            else:
-                raw = b"".join(map(known.__getitem__, words))
-            out.append(np.frombuffer(raw + end, "<i4"))
-        return out
+        split = [self.cut(t) for t in whole]
+        known, out, waiting = self.known, [b""] * len(split), []
+        for n, keys in enumerate(split):
+            try:
+                out[n] = b"".join(map(known.__getitem__, keys))
+            except KeyError:
+                waiting.append(n)
+        wanted = set(chain.from_iterable(split[n] for n in waiting))
+        new = self.learn(wanted - known.keys())
+        kept = {k: ids for k, ids in new.items() if len(k) <= WORD_CHARS}
+        if len(known) + len(kept) <= WORDS:
+            known.update(kept)
+        else:  # the table begins again with what is new
+            self.known = dict(islice(kept.items(), WORDS))
+        for n in waiting:
+            out[n] = b"".join([known[k] if k in known else new[k] for k in split[n]])
+        end = np.array([self.end], dtype="<i4").tobytes()
+        return [np.frombuffer(raw + end, "<i4") for raw in out]
 
     def encode(self, text: str) -> list[int]:
         """:meth:`encode_all` of one text."""
