@@ -287,10 +287,9 @@ class Agenda:
         wanted = set(chain.from_iterable(split[n] for n in waiting))
         new = self.learn(wanted - known.keys())
         kept = {k: ids for k, ids in new.items() if len(k) <= WORD_CHARS}
-        if len(known) + len(kept) <= WORDS:
-            known.update(kept)
-        else:  # the table begins again with what is new
-            self.known = dict(islice(kept.items(), WORDS))
+        if 2 * len(wanted - new.keys()) < len(new) and len(known) + len(kept) > WORDS:
+            self.known = {}  # other texts than those it was filled with: the table begins again
+        self.known.update(islice(kept.items(), max(0, WORDS - len(self.known))))  # a full one stays: it holds the frequent words
         for n in waiting:
             out[n] = b"".join([known[k] if k in known else new[k] for k in split[n]])
         end = np.array([self.end], dtype="<i4").tobytes()
