@@ -180,6 +180,29 @@ def test_rows_of_a_satellite_are_exchanged_for_distinct_and_anti_join_together(s
     assert not [e for e in exchanges(plan) if "pay_doc_num" in e]
 
 
+def test_rows_of_a_satellite_are_written_into_it_only(spark, loaded):
+    assert [n for n in loaded.names() if "_new" in n] == []
+    for name, (schema, *_) in pipeline.SATS.items():
+        assert loaded.read(name).columns == schema.names
+        assert loaded.read(name).select("LOAD_DATE").distinct().count() >= 1
+
+
+def test_users_are_packed_in_the_sums_of_a_year(spark, loaded, no_broadcast):
+    sums = marts.user_year_sums(loaded.read("link_payment", schemas.LINK_PAYMENT), loaded.read("sat_payment", schemas.SAT_PAYMENT),
+                                loaded.read("hub_billing_period", schemas.hub_schema("billing_period")))
+    plan = executed(sums)
+    assert plan.index("unhex(USER_PK") > plan.index("Exchange hashpartitioning(USER_PK")  # the tree is read from its top
+    assert {len(r.USER_PK) for r in sums.select("USER_PK").distinct().collect()} == {32}
+
+
+def test_marts_without_any_payment(spark, tmp_path):
+    feeds = fixtures.quirk_sources(spark, SF_SMALL)
+    for atomic in (False, True):
+        wh = Warehouse.for_vault(spark, str(tmp_path / str(atomic)), n=2, atomic=atomic)
+        pipeline.run_year(spark, wh, {**feeds, "payment": feeds["payment"].where("pay_doc_num < 0")}, 2013)
+        assert wh.read("report_tmp", schemas.REPORT).count() == 0
+
+
 def test_a_dynamic_overwrite_tells_its_partitions(spark, tmp_path):
     df = spark.createDataFrame([(1, "2013"), (2, "2014")], "a int, part string")
     for atomic in (False, True):
