@@ -174,6 +174,33 @@ def test_rows_of_ordinary_keys_are_exchanged_once(spark, monkeypatch):
     assert "_b0" in executed(vault.collapse_repeats(hot, "k", "v", ["d", "t"]))
 
 
+def test_states_of_ordinary_keys_are_merged_in_one_exchange(spark, no_broadcast, monkeypatch):
+    """By the key, for both maxima; a large key's states stay spread.  The result is that of ``latest_states``."""
+    monkeypatch.setattr(vault, "LEAST_PIECE", 20)
+    monkeypatch.setattr(vault, "KEY_SHARES", 1)
+    day = F.make_date(2013 + (F.col("id") % 5).cast("int"), F.lit(1), F.lit(1)).cast("timestamp_ntz")
+    plain = spark.range(400).select(F.when(F.col("id") % 41 > 0, (F.col("id") % 41).cast("string")).alias("k"),
+                                    F.when(F.col("id") % 37 > 0, (F.col("id") % 3).cast("string")).alias("h"),
+                                    F.when(F.col("id") % 31 > 0, day).alias("LOAD_DATE"))
+    hot = plain.unionByName(plain.withColumn("k", F.lit("hot")))
+    assert len(exchanges(executed(vault.merged_states(plain, "k", "h")))) == 1
+    for df in (plain, hot, plain.limit(0), plain.where("k = '7'")):
+        assert rows(vault.merged_states(df, "k", "h")) == rows(vault.latest_states(df, "k", "h", with_load_date=True))
+    assert "LeftSemi" in executed(vault.merged_states(hot, "k", "h"))
+
+
+def test_tables_hold_repeated_texts_by_their_length(spark, loaded):
+    """The user keys of neighbouring staged rows repeat; pages of the second version store no byte of a repeat."""
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    for name in ("mv_payment_2014", "sat_payment", "link_payment"):
+        files = [f for f in Path(loaded.path(name)).glob("*.parquet") if pq.ParquetFile(f).metadata.num_rows]
+        metas = [pq.ParquetFile(f).metadata for f in files]
+        keys = {m.row_group(0).column(m.schema.names.index("PAYMENT_PK")).encodings for m in metas}
+        assert files and all("DELTA_BYTE_ARRAY" in k or "RLE_DICTIONARY" in k for k in keys), keys
+
+
 def test_rows_of_a_satellite_are_exchanged_for_distinct_and_anti_join_together(spark, loaded, no_broadcast):
     sat = loaded.read("sat_payment", schemas.SAT_PAYMENT)
     plan = executed(vault.sat_payment_rows(loaded.read("mv_payment_2014"), sat, as_of=dt.datetime(2014, 1, 1)))
