@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -74,6 +75,28 @@ def test_keys_between_spaces_stand_for_the_words_of_the_text(agenda):
     assert agenda.cut("one two\nthree") == ["one", "two", "\nthree"]  # found without a search for words
 
 
+def test_words_between_single_spaces_are_learned_without_a_search():
+    class NoSearch:
+        def findall(self, text):
+            raise AssertionError(text)
+
+    a = piece_agenda.Agenda(piece_agenda.model_path())
+    a.words = NoSearch()
+    for text in ("one two\nthree", "a\n\nb\tcd", "x" * 70 + " y", "na\u00efve \U0001f642 \u4e2d\u6587"):
+        assert a.encode(text) == a.library.encode(text, add_eos=True)
+
+
+def test_pairs_of_crowded_slots_are_found(agenda):
+    n = agenda.unknown + 1
+    assert agenda.crowded.any()
+    keys = np.concatenate((agenda.join_keys, agenda.join_keys + 1, np.random.default_rng(3).integers(0, n * n, 200_000)))
+    place, joined = agenda.seats(keys // n, (keys % n).astype(np.int32))
+    pairs = dict(zip(agenda.join_keys.tolist(), zip(agenda.join_places.tolist(), agenda.join_symbols.tolist())))
+    want = [pairs.get(k, (piece_agenda.NONE, None)) for k in keys.tolist()]
+    assert place.tolist() == [p for p, _ in want]
+    assert all(j == w for j, (_, w) in zip(joined.tolist(), want) if w is not None)
+
+
 def test_tables_of_words_stay_bounded(monkeypatch):
     monkeypatch.setattr(piece_agenda, "WORDS", 50)
     a = piece_agenda.Agenda(piece_agenda.model_path())

@@ -38,6 +38,8 @@ SPACE_MARK = "▁"
 #: Entries of a worker's table of words, and the longest word kept in it and in a table of agendas.
 WORDS, WORD_CHARS = 500_000, 64
 NONE = np.iinfo(np.int32).max
+#: Slots (as a power of two) of the hashed table of pairs that join.
+SLOT_BITS = 20
 BATCH_BYTES = 4 << 20
 MERGES, NORMAL, CONTROL = 2, 1, 3
 
@@ -134,11 +136,23 @@ class Agenda:
         joins = sorted((symbols[p[:k]] * (self.unknown + 1) + symbols[p[k:]], place, symbols[p]) for p, place in self.place.items()
                        for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols)
         self.join_keys, self.join_places, self.join_symbols = (np.array(c, dtype=t) for c, t in zip(zip(*joins), (np.int64, np.int32, np.int32)))
+        # the first pair of every slot; pairs of crowded slots are searched for among all
+        slot = self.slots(self.join_keys)
+        self.slot_pair = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+        self.slot_pair[slot[::-1]] = np.arange(len(slot) - 1, -1, -1, dtype=np.int32)
+        self.crowded = np.bincount(slot, minlength=1 << SLOT_BITS) > 1
+
+    @staticmethod
+    def slots(keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def seats(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, joined symbol) of pairs of neighbours; place ``NONE`` where they do not join."""
         key = left.astype(np.int64) * (self.unknown + 1) + right
-        at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
+        slot = self.slots(key)
+        at = self.slot_pair[slot]
+        many = np.nonzero(self.crowded[slot] & (self.join_keys[at] != key))
+        at[many] = np.minimum(np.searchsorted(self.join_keys, key[many]), len(self.join_keys) - 1)
         return np.where(self.join_keys[at] == key, self.join_places[at], NONE), self.join_symbols[at]
 
     def join_rows(self, words: list[str]) -> list[bytes | None]:
@@ -179,22 +193,30 @@ class Agenda:
 
     def answers(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words, short ones in tables of agendas."""
-        out = {w: self.long_word(w) for w in words if len(w) > WORD_CHARS}
-        groups: dict[int, list[str]] = {}
-        for w in words - out.keys():
-            groups.setdefault((len(w) - 1) // 8, []).append(w)
-        for group in groups.values():
-            for lo in range(0, len(group), 20_000):
-                part = group[lo:lo + 20_000]
-                for w, ids in zip(part, self.join_rows(part)):
-                    out[w] = self.long_word(w) if ids is None else ids
+        ordered = sorted(words, key=len)
+        sizes = np.fromiter(map(len, ordered), dtype=np.int64, count=len(ordered))
+        short = int(np.searchsorted(sizes, WORD_CHARS, side="right"))
+        out = {w: self.long_word(w) for w in ordered[short:]}
+        ends = np.searchsorted(sizes[:short], np.arange(8, WORD_CHARS + 8, 8), side="right").tolist()
+        for start, end in zip([0, *ends], ends):  # words of about one length share a table
+            for lo in range(start, end, 20_000):
+                part = ordered[lo:min(lo + 20_000, end)]
+                ids = self.join_rows(part)
+                if None in ids:
+                    ids = [self.long_word(w) if i is None else i for w, i in zip(part, ids)]
+                out.update(zip(part, ids))
         return out
 
     def learn(self, keys: set[str]) -> dict[str, bytes]:
         """Ids of keys (see :meth:`cut`)."""
-        words = {k: self.words_of(k) for k in keys}
-        ids = self.answers(set(chain.from_iterable(words.values())))
-        return {k: b"".join(map(ids.__getitem__, w)) for k, w in words.items()}
+        apart = self.lone + " "
+        single = [k for k in keys if k[0] not in apart]
+        words = dict(zip(single, map(self.prefix.__add__, single)))  # a key without white space is one word
+        several = {k: self.words_of(k) for k in keys if k[0] in apart}
+        ids = self.answers({*words.values(), *chain.from_iterable(several.values())})
+        new = {k: b"".join(map(ids.__getitem__, w)) for k, w in several.items()}
+        new.update(zip(words, map(ids.__getitem__, words.values())))
+        return new
 
     def cut(self, text: str) -> list[str]:
         """Keys of a text, in order.  Where its spaces are single and stand inside, they are what lies between
@@ -216,7 +238,9 @@ class Agenda:
         """The words that a key of :meth:`cut` stands for."""
         if key[0] == " ":
             return [key[1:]]
-        return self.words.findall(key if key[0] in self.lone else self.prefix + key)
+        if key[0] in self.lone:
+            return [key[0], key[1:]] if len(key) > 1 else [key]
+        return [self.prefix + key]
 
     def long_word(self, word: str) -> bytes:
         return np.array([i for run in self.runs(word) for i in self.join(run)], dtype="<i4").tobytes()
@@ -278,22 +302,22 @@ class Agenda:
     def encode_all(self, whole: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last.  An empty text is the end id alone."""
         split = [self.cut(t) for t in whole]
-        known, out, waiting = self.known, [b""] * len(split), []
-        for n, keys in enumerate(split):
-            try:
-                out[n] = b"".join(map(known.__getitem__, keys))
-            except KeyError:
-                waiting.append(n)
-        wanted = set(chain.from_iterable(split[n] for n in waiting))
-        new = self.learn(wanted - known.keys())
-        kept = {k: ids for k, ids in new.items() if len(k) <= WORD_CHARS}
-        if 2 * len(wanted - new.keys()) < len(new) and len(known) + len(kept) > WORDS:
-            self.known = {}  # other texts than those it was filled with: the table begins again
-        self.known.update(islice(kept.items(), max(0, WORDS - len(self.known))))  # a full one stays: it holds the frequent words
-        for n in waiting:
-            out[n] = b"".join([known[k] if k in known else new[k] for k in split[n]])
-        end = np.array([self.end], dtype="<i4").tobytes()
-        return [np.frombuffer(raw + end, "<i4") for raw in out]
+        flat = list(chain.from_iterable(split))
+        found = list(map(self.known.get, flat))
+        missed = [n for n, ids in enumerate(found) if ids is None]
+        if missed:
+            new = self.learn({flat[n] for n in missed})
+            for n in missed:
+                found[n] = new[flat[n]]
+            kept = {k: ids for k, ids in new.items() if len(k) <= WORD_CHARS}
+            if 3 * len(missed) > 2 * len(flat) and len(self.known) + len(kept) > WORDS:
+                self.known = {}  # other texts than those it was filled with: the table begins again
+            self.known.update(islice(kept.items(), max(0, WORDS - len(self.known))))  # a full one stays: it holds the frequent words
+        end, at, out = np.array([self.end], dtype="<i4").tobytes(), 0, []
+        for keys in split:
+            out.append(np.frombuffer(b"".join([*found[at:at + len(keys)], end]), "<i4"))
+            at += len(keys)
+        return out
 
     def encode(self, text: str) -> list[int]:
         """:meth:`encode_all` of one text."""
