@@ -13,6 +13,7 @@ import regex
 import xxhash
 from pyspark.sql import functions as F
 
+from vaultspark.llm.eliasfano import EliasFano
 from vaultspark.llm import decontaminate, ngram_trie, quality_mil, quality_rules, simhash
 from vaultspark.llm.bytewords import Hasher
 from vaultspark.llm.common import crc_mod, table
@@ -310,3 +311,45 @@ def test_open_segments_of_a_remote_store_are_bounded(spark, docs, monkeypatch):
     few = ngram_trie.Trie(model)
     assert few.log10(prev, word, base).tolist() == want.tolist()
     assert 0 < few.open.size <= bound < all_open.open.size and len(few.open.held) < len(all_open.open.held)
+
+
+def test_a_search_selects_one_zero_for_each_value(monkeypatch):
+    """The zero behind a value's members is read from where they begin; both ways give the same places."""
+    rng = np.random.default_rng(11)
+    asked = []
+    select = EliasFano.zero_place
+    monkeypatch.setattr(EliasFano, "zero_place", lambda self, k: asked.append(len(k)) or select(self, k))
+    for values in (rng.integers(0, 1 << 40, 5000), np.repeat(rng.integers(0, 50, 40), 30), np.arange(700), np.array([0, 0, 1 << 50])):
+        values = np.sort(values).astype(np.uint64)
+        e = EliasFano.build(values)
+        asked.clear()
+        wanted = np.concatenate((values, values + np.uint64(1), rng.integers(0, 1 << 50, 500).astype(np.uint64)))
+        at = e.find(wanted)
+        assert sum(asked) <= len(wanted)
+        last = {int(v): i for i, v in enumerate(values)}
+        assert at.tolist() == [last.get(int(v), -1) for v in wanted]
+        bits = np.unpackbits(e.high.view(np.uint8), bitorder="little")
+        zeros = np.flatnonzero(bits == 0)
+        places = np.arange(zeros[-1] + 1)
+        assert e.next_zero(places).tolist() == zeros[np.searchsorted(zeros, places)].tolist()
+        assert e.get(np.arange(e.n)).tolist() == values.tolist()
+
+
+def test_distinct_keys_and_the_order_of_segments():
+    rng = np.random.default_rng(12)
+    for keys in (rng.integers(0, 99, 5000).astype(np.uint64), np.empty(0, np.uint64), np.array([7], np.uint64)):
+        first, place = ngram_trie.distinct(keys)
+        known, inverse = np.unique(keys, return_inverse=True)
+        assert keys[first].tolist() == known.tolist() and place.tolist() == inverse.tolist()
+    for seg in (rng.integers(0, 9, 3000), rng.integers(0, 1 << 20, 3000), np.empty(0, np.int64)):
+        assert ngram_trie.by_number(seg).tolist() == np.argsort(seg, kind="stable").tolist()
+
+
+def test_merged_counts_are_not_held_beside_their_sum():
+    held = ngram_trie.Held()
+    held.add(np.array([3, 9], np.uint64), np.array([1, 2]))
+    held.add(np.array([1, 9], np.uint64), np.array([5, 7]))
+    keys, counts = held.merged()
+    assert (keys.tolist(), counts.tolist()) == ([1, 3, 9], [5, 1, 9])
+    assert held.parts == [] and held.size == 0 and not held.full()
+    assert [len(x) for x in held.merged()] == [0, 0]

@@ -8,6 +8,7 @@ import numpy as np
 STEP = 2
 _ONE = np.uint64(1)
 _BYTES = np.uint64(0x0101010101010101)
+_TOPS = np.uint64(0x8080808080808080)
 
 
 def _select_table() -> np.ndarray:
@@ -27,12 +28,11 @@ def select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     s = word - ((word >> _ONE) & np.uint64(0x5555555555555555))
     s = (s & np.uint64(0x3333333333333333)) + ((s >> np.uint64(2)) & np.uint64(0x3333333333333333))
     s = (s + (s >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)
-    sums = s * _BYTES  # byte i: ones in bytes 0..i
-    up = sums.view(np.uint8).reshape(-1, 8)
-    byte = (up <= k[:, None]).sum(axis=1)
-    rows = np.arange(len(word))
-    before = np.where(byte > 0, up[rows, np.maximum(byte - 1, 0)], 0)
-    return byte * 8 + SELECT[word.view(np.uint8).reshape(-1, 8)[rows, byte], k - before]
+    sums = s * _BYTES  # byte i: ones in bytes 0..i, at most 64
+    # the top bit of byte i stays where at most k ones stand in bytes 0..i: no byte borrows from the next
+    byte = np.bitwise_count((((k.astype(np.uint64) * _BYTES) | _TOPS) - sums) & _TOPS).astype(np.uint64) << np.uint64(3)
+    before = ((sums << np.uint64(8)) >> byte) & np.uint64(255)
+    return byte.astype(np.int64) + SELECT[((word >> byte) & np.uint64(255)).astype(np.int64), k - before.astype(np.int64)]
 
 
 class EliasFano:
@@ -104,6 +104,19 @@ class EliasFano:
         """Place of the k-th zero of the upper bits."""
         return self._select(k, self.zeros, ~np.uint64(0))
 
+    def next_zero(self, place: np.ndarray) -> np.ndarray:
+        """Place of the first zero of the upper bits at or behind each place."""
+        word = place >> 6
+        free = ~self.high[word] >> (place & 63).astype(np.uint64)
+        out = place + np.bitwise_count(~free & (free - _ONE)).astype(np.int64)  # ones before the first zero
+        todo = np.flatnonzero(free == 0)
+        while len(todo):
+            word[todo] += 1
+            free = ~self.high[word[todo]]
+            out[todo] = word[todo] * 64 + np.bitwise_count(~free & (free - _ONE))
+            todo = todo[free == 0]
+        return out
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values at positions ``i``: the high part is where the i-th one stands."""
         place = self._select(i, self.ones, np.uint64(0))
@@ -122,10 +135,10 @@ class EliasFano:
         if not len(act):
             return out
         h, want = high[act], values[act] & self.mask
-        lo = np.zeros(len(act), dtype=np.int64)
+        start = np.zeros(len(act), dtype=np.int64)
         inner = np.flatnonzero(h > 0)
-        lo[inner] = self.zero_place(h[inner] - 1) + 1 - h[inner]
-        hi = self.zero_place(h) - h
+        start[inner] = self.zero_place(h[inner] - 1) + 1
+        lo, hi = start - h, self.next_zero(start) - h
         first = lo.copy()
         todo = np.flatnonzero(lo < hi)
         while len(todo):  # members up to ``lo`` are not greater

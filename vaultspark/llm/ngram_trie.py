@@ -126,14 +126,33 @@ def packed(*arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their total counts."""
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their total counts.  The list is emptied, so that its arrays can go."""
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    parts.clear()
     order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+    keys = keys[order]
+    counts = counts[order]
+    del order
     first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of one occurrence of every distinct key, in order of the keys; place of each key among them)."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.concatenate((np.ones(min(1, len(keys)), bool), ordered[1:] != ordered[:-1]))
+    place = np.empty(len(keys), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place
+
+
+def by_number(seg: np.ndarray) -> np.ndarray:
+    """Stable order of segment numbers; numbers of 16 bits are sorted by counting."""
+    return np.argsort(seg.astype(np.uint16) if len(seg) and seg.max() < 1 << 16 else seg, kind="stable")
+
+
 class Held:
     """Counts of one task, merged as they come in."""
 
@@ -146,9 +165,9 @@ class Held:
         self.size += len(keys)
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
-        return summed(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts]))
+        """All counts; nothing is held any more."""
+        self.size = 0
+        return summed(self.parts) if self.parts else (np.empty(0, np.uint64), np.empty(0, np.int64))
 
     def full(self) -> bool:
         """Whether there is too much to hold even after a merge."""
@@ -161,7 +180,7 @@ class Held:
 
 def blocks(seg: np.ndarray, keys: np.ndarray, counts: np.ndarray, second: bool) -> Iterator[tuple[int, int, bytes]]:
     """(segment, entries, compressed arrays); keys of second-level blocks are cut into context and child."""
-    order = np.argsort(seg, kind="stable")  # keys stay in order inside a segment
+    order = by_number(seg)  # keys stay in order inside a segment
     seg, keys, counts = seg[order], keys[order], counts[order].astype(np.uint64)
     ends = np.flatnonzero(np.concatenate((seg[1:] != seg[:-1], np.ones(min(1, len(seg)), bool)))) + 1
     start = 0
@@ -195,7 +214,7 @@ def _block_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 def _merge(table: pa.Table, second: bool) -> tuple[np.ndarray, np.ndarray]:
     got = [opened(n, b, second) for n, b in zip(table.column("entries").to_pylist(), table.column("block").to_pylist())]
-    return summed(np.concatenate([k for k, _ in got]), np.concatenate([c for _, c in got]))
+    return summed(got)
 
 
 # -- quantisation ---------------------------------------------------------
@@ -385,7 +404,6 @@ def learn(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
         def out() -> pa.RecordBatch:
             k, c = held.merged()
             seg = (k >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(k), dtype=np.int64)
-            held.parts, held.size = [], 0
             return _block_batch(list(blocks(seg, k, c, False)))
 
         for b in small_batches(it, "text", 16 << 20):
@@ -435,7 +453,6 @@ def learn(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
         def out() -> pa.RecordBatch:
             k, c = held.merged()
             seg = model.place((k >> np.uint64(32)).astype(np.int64), (k & np.uint64(0xFFFFFFFF)).astype(np.int64))
-            held.parts, held.size = [], 0
             return _block_batch(list(blocks(seg, k, c, True)))
 
         for b in small_batches(it, "text", 16 << 20):
@@ -494,7 +511,6 @@ def _learn_level(spark: SparkSession, src: DataFrame, model: Model, level: int,
             k, c = held.merged()
             node, word = (k >> bits).astype(np.int64), k & ((np.uint64(1) << bits) - np.uint64(1))
             seg = np.searchsorted(above, node, side="right") - 1
-            held.parts, held.size = [], 0
             return _block_batch(list(blocks(seg, ((node - above[seg]).astype(np.uint64) << np.uint64(32)) | word, c, True)))
 
         for b in small_batches(it, "text", 16 << 20):
@@ -511,6 +527,7 @@ def _learn_level(spark: SparkSession, src: DataFrame, model: Model, level: int,
         k, c = _merge(table, True)
         seg = table.column("seg")[0].as_py()
         node, word = (k >> np.uint64(32)).astype(np.int64), k & np.uint64(0xFFFFFFFF)
+        del k
         first = np.flatnonzero(np.concatenate((np.ones(min(1, len(node)), bool), node[1:] != node[:-1])))
         own, fan = node[first], np.diff(np.concatenate((first, [len(node)])))
         total = np.add.reduceat(c, first)  # a text goes on after every node that has children
@@ -524,7 +541,7 @@ def _learn_level(spark: SparkSession, src: DataFrame, model: Model, level: int,
         arrays |= sequence("pointer", np.searchsorted(node, np.arange(len(back) + 1)))
         arrays |= sequence("child", word + np.repeat(shift, fan))
         write_arrays(root, f"level{level}-{seg:06d}", arrays)
-        return pa.table({"seg": pa.array([seg], pa.int32()), "n": pa.array([len(k)], pa.int64())})
+        return pa.table({"seg": pa.array([seg], pa.int32()), "n": pa.array([len(node)], pa.int64())})
 
     written = stored(spark, src.mapInArrow(count_children, BLOCK).groupBy("seg").applyInArrow(write_children, "seg int, n bigint"), f"level{level}")
     sizes = {r["seg"]: r["n"] for r in written.collect()}  # one row per segment
@@ -613,7 +630,7 @@ class Trie:
 
 def by_segment(segment: np.ndarray, asked: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Indices of each segment among the ``asked`` ones."""
-    asked = asked[np.argsort(segment[asked], kind="stable")]
+    asked = asked[by_number(segment[asked])]
     mine = segment[asked]
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(mine)) + 1, [len(mine)]))
     for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -644,7 +661,7 @@ class Walk:
         is given, ``p`` are the tokens' probabilities; there is no need of contexts below the last level then."""
         m = self.trie.m
         key = ((t.prev + 1).astype(np.uint64) << np.uint64(32)) | (t.id + 1).astype(np.uint64)
-        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        first, inverse = distinct(key)
         seen, back, segment, node = (x[inverse] for x in self.trie.pairs(t.prev[first], t.id[first]))
         self.p = seen if base is None else seen + back * base
         if m.order == 2:
@@ -653,7 +670,7 @@ class Walk:
             if level > 2:
                 asked = np.flatnonzero(above >= 0)
                 key = (number[asked].astype(np.uint64) << np.uint64(m.key_bits(level - 1))) | (t.id[asked] + 1).astype(np.uint64)
-                _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+                first, inverse = distinct(key)
                 first = asked[first]
                 got = self.trie.below(level, segment[first], above[first], t.id[first])
                 self.p[asked] = got[0][inverse] + got[1][inverse] * self.p[asked]
