@@ -90,6 +90,12 @@ def test_golay_keys_lose_no_link(spark, group):
     assert classes(got) == classes(want)
 
 
+def test_keys_of_fingerprints_are_never_broadcast_by_their_estimate(spark):
+    fps = spark.range(64).selectExpr("xxhash64(id) fp")  # as small as an estimate can be; the keys are 87 times as many
+    plan = simhash.links(spark, fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_deduplicate_keeps_one_of_each_group(spark, docs):
     found = simhash.near_duplicates(spark, docs).select("component_id").distinct().collect()
     kept = simhash.deduplicate(spark, docs)

@@ -219,7 +219,8 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = 4, group: int = G
     few = buckets.filter("count between 2 and 3").withColumn("c", mid).filter(near(a, b) | ((F.col("count") == 3) & (near(a, F.col("c")) | near(F.col("c"), b))))
     few = few.select(F.explode(F.filter(F.array(*met_few), lambda e: near(e["u"], e["v"]) & (e["u"] != e["v"]))).alias("e")).select("e.u", "e.v")
     counts = buckets.filter("count > 3").select("key", "count")
-    met = keys.join(counts, "key")
+    # the tasks make about 87 keys of a fingerprint, which no estimate of ``keys`` knows: neither side may be broadcast by its estimate
+    met = keys.join(counts.hint("merge"), "key")
     blocks = F.ceil(F.col("count") / F.lit(group // 2))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     met = met.withColumn("blocks", F.when(F.col("count") > group, blocks).otherwise(F.lit(1))).withColumn("own", own)
