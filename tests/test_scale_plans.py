@@ -342,3 +342,38 @@ def test_the_loaded_vault_keeps_no_years_of_copies(spark):
         schema = pipeline._latest_schema(pk, hd)
         assert len(pipeline._versions(wh, f"{name}_latest", schema)) <= pipeline.OPEN_DELTAS
         assert len(pipeline._versions(wh, f"{name}_base", schema)) <= 1
+
+
+# -- what may be broadcast ----------------------------------------------------------------
+
+def test_tables_that_grow_are_never_broadcast_by_the_size_of_their_files(spark, loaded):
+    """Hubs, links and the MDM snapshot hold a row in a few bytes: however small their files, they are not sent to the driver."""
+    staged, hub = loaded.read("mv_payment_2014"), loaded.read("hub_user", schemas.hub_schema("user"))
+    link, sat = loaded.read("link_payment", schemas.LINK_PAYMENT), loaded.read("sat_payment", schemas.SAT_PAYMENT)
+    for new in (vault.hub_rows("user", [staged, loaded.read("mv_mdm")], hub), vault.link_payment_rows(staged, link)):
+        plan = executed(new)
+        assert "LeftAnti" in plan and "Broadcast" not in plan
+    sums = marts.user_year_sums(link, sat, loaded.read("hub_billing_period", schemas.hub_schema("billing_period")))
+    assert executed(sums).count("BroadcastExchange") == 1  # the billing periods, whose number is checked
+    flat = sums.sparkSession.createDataFrame(sums.collect(), sums.schema)
+    assert "Broadcast" not in executed(marts.report_of_sums(flat, hub, loaded.read("ods_user", schemas.ODS_USER)))
+
+
+def test_states_behind_the_cut_are_compared_in_one_pass(spark, no_broadcast, monkeypatch):
+    """The cut to the keys of the batch is made once, and states equal those of the two aggregates, large keys or not."""
+    import random
+
+    rnd = random.Random(11)
+    year = lambda: rnd.choice([None, *(dt.datetime(y, 1, 1) for y in range(2013, 2017))])
+    keys = [None, "hot", *(f"k{i}" for i in range(40))]
+    rows_ = [("hot" if i % 3 == 0 else rnd.choice(keys), rnd.choice(["x", "y", "z", None]), year()) for i in range(900)]
+    history = spark.createDataFrame(rows_, "pk string, hd string, LOAD_DATE timestamp_ntz").repartition(3)
+    for least, batch_keys in ((20, keys[2:30]), (20, keys), (10_000, keys)):
+        monkeypatch.setattr(vault, "LEAST_PIECE", least)
+        batch = spark.createDataFrame([(k,) for k in batch_keys] * 4 + [("hot",)] * (200 if "hot" in batch_keys else 0), "pk string")
+        cut = history.join(batch.distinct(), "pk", "left_semi")
+        got = vault.compared_states(cut, "pk", "hd", batch)
+        assert {tuple(r) for r in got.collect()} == {tuple(r) for r in vault.latest_states(cut, "pk", "hd").collect()}
+        if "hot" not in batch_keys:
+            cuts = [df._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") for df in (got, vault.latest_states(cut, "pk", "hd"))]
+            assert cuts == [1, 2]
